@@ -12,7 +12,10 @@ from .chat_format import format_chats
 from .common import documents, shared_dir
 from .digest_cache import token_counts
 from .fertility import fertility_rules
+from .gam import quality_scores
+from .license_scan import license_scan
 from .packing import pack_documents
+from .pseudonyms import pseudonymise
 
 
 def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,16 +32,32 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(chats.unionByName(hostile)).select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_rewrites", "n_unlocated")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(documents(spark, sf_dir))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a cache of its own, empty at first: every distinct text is encoded."""
     return token_counts(documents(spark, sf_dir), f"{shared_dir(spark)}/token-cache-{uuid.uuid4().hex}")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+#: The key of the registered query and the pipeline; a deployment sets its own.
+PSEUDONYM_KEY = "demonstration key, not a secret"
+
+
+def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(documents(spark, sf_dir), PSEUDONYM_KEY)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_fertility, op2_chat_format, op7_token_counts, op10_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_fertility, op2_chat_format, op6_license_scan, op7_token_counts, op8_quality, op9_pseudonyms, op10_packing)}
 
 _CHATS = """(SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok')"""
