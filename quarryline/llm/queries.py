@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .chat_format import format_chats
 from .common import documents, shared_dir
+from .decontaminate import decontaminate
 from .digest_cache import token_counts
 from .fertility import fertility_rules
 from .gam import quality_scores
@@ -32,6 +33,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(chats.unionByName(hostile)).select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_rewrites", "n_unlocated")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir))
 
@@ -57,7 +62,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_fertility, op2_chat_format, op6_license_scan, op7_token_counts, op8_quality, op9_pseudonyms, op10_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_fertility, op2_chat_format, op4_decontamination, op6_license_scan, op7_token_counts, op8_quality, op9_pseudonyms, op10_packing)}
 
 _CHATS = """(SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok')"""
