@@ -14,6 +14,7 @@ from .decontaminate import decontaminate
 from .digest_cache import token_counts
 from .fertility import fertility_rules
 from .gam import quality_scores
+from .jaccard import jaccard_components
 from .license_scan import license_scan
 from .packing import pack_documents
 from .pseudonyms import pseudonymise
@@ -37,6 +38,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir), k=3, percent=90)
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir))
 
@@ -62,7 +67,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_fertility, op2_chat_format, op4_decontamination, op6_license_scan, op7_token_counts, op8_quality, op9_pseudonyms, op10_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_fertility, op2_chat_format, op4_decontamination, op5_jaccard, op6_license_scan, op7_token_counts, op8_quality, op9_pseudonyms, op10_packing)}
 
 _CHATS = """(SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok')"""
