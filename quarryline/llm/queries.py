@@ -18,6 +18,7 @@ from .jaccard import jaccard_components
 from .license_scan import license_scan
 from .packing import pack_documents
 from .pseudonyms import pseudonymise
+from .suffix_dedup import remove_repeats
 
 
 def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +35,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(chats.unionByName(hostile)).select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_rewrites", "n_unlocated")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir), length=400)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -67,7 +72,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_fertility, op2_chat_format, op4_decontamination, op5_jaccard, op6_license_scan, op7_token_counts, op8_quality, op9_pseudonyms, op10_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_fertility, op2_chat_format, op3_suffix_dedup, op4_decontamination, op5_jaccard, op6_license_scan, op7_token_counts, op8_quality, op9_pseudonyms, op10_packing)}
 
 _CHATS = """(SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok')"""
