@@ -262,7 +262,7 @@ class Decontaminator:
 
     def keep_clean(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
         """The rows of docs, all columns, in which no item is found."""
-        where = docs.columns.index(text_col)
+        where, names = docs.columns.index(text_col), docs.columns
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _, search = self._search()
@@ -271,7 +271,7 @@ class Decontaminator:
                     batch = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
                     for piece in slices(batch, f"c{where}"):
                         found = {d for d, *_ in search(piece.column(where))}
-                        yield piece.filter(pa.array([k not in found for k in range(piece.num_rows)])).rename_columns(docs.columns)
+                        yield piece.filter(pa.array([k not in found for k in range(piece.num_rows)])).rename_columns(names)
 
         return docs.mapInArrow(run, docs.schema)
 
