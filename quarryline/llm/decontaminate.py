@@ -33,7 +33,8 @@ from .common import id_text
 
 SCHEMA = "doc_id long, item_id long, cosine double, lcs_share double, answer_share double, first_word long, last_word long"
 _COLUMNS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs_share", pa.float64()), ("answer_share", pa.float64()), ("first_word", pa.int64()), ("last_word", pa.int64())])
-#: Window widths in words, each for the items of so many words; a window moves on by a quarter of its width.
+#: Window widths in words (four blocks, each twice as wide as the last), for items of so many words. A window moves on by
+#: a quarter of its width.
 WIDTHS = ((16, 0, 24), (32, 24, 48), (64, 48, 1 << 30))
 
 
@@ -50,12 +51,62 @@ def terms_of(hashes: np.ndarray, n_terms: int) -> np.ndarray:
     return ((hashes >> np.uint64(40)) % np.uint64(n_terms)).astype(np.uint16 if n_terms <= 1 << 16 else np.int64)
 
 
-def _block_starts(before: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """First words of the blocks of `width` words of each text, and each block's text."""
+#: Zero rows after each text's blocks, so that sums over neighbouring blocks need no test for the end of a text.
+GAP = 3
+
+
+@dataclass(frozen=True)
+class Blocks:
+    """Sums over blocks of `width` words of each text, in order, with GAP zero rows after each text."""
+
+    width: int
+    sums: np.ndarray
+    counts: np.ndarray  # blocks of each text
+    text: np.ndarray  # of each row
+    within: np.ndarray  # number of the row's block in its text; from counts on it is a gap
+
+    @property
+    def real(self) -> np.ndarray:
+        return self.within < self.counts[self.text]
+
+    @staticmethod
+    def layout(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        text = np.repeat(np.arange(len(counts)), counts + GAP)
+        return text, np.arange(len(text)) - np.repeat(np.cumsum(counts + GAP) - counts - GAP, counts + GAP)
+
+
+def first_blocks(table: np.ndarray, term: np.ndarray, before: np.ndarray, width: int = 4) -> Blocks:
+    """Blocks of the table rows of the words' terms; the table's last row is zero."""
     counts = -(-np.diff(before) // width)
-    text = np.repeat(np.arange(len(counts)), counts)
-    within = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
-    return before[:-1][text] + within * width, text
+    text, within = Blocks.layout(counts)
+    start, last = before[:-1][text] + within * width, before[1:][text]
+    padded = np.append(term, term.dtype.type(len(table) - 1))
+    sums = np.zeros((len(text), table.shape[1]), table.dtype)
+    for q in range(width):
+        at = start + q
+        sums += table[padded[np.where(at < last, at, len(term))]]
+    return Blocks(width, sums, counts, text, within)
+
+
+def doubled(b: Blocks) -> Blocks:
+    """Blocks of twice the width."""
+    counts = -(-b.counts // 2)
+    text, within = Blocks.layout(counts)
+    at = (np.cumsum(b.counts + GAP) - b.counts - GAP)[text] + 2 * within
+    real = within < counts[text]
+    at[~real] = b.counts[0]  # a gap row
+    sums = b.sums[at]
+    sums += b.sums[np.where(real, at + 1, at)]
+    return Blocks(2 * b.width, sums, counts, text, within)
+
+
+def windows(b: Blocks) -> np.ndarray:
+    """Unit sums of four blocks from each row on."""
+    out = b.sums.copy()
+    for q in range(1, GAP + 1):
+        out[:-q] += b.sums[q:]
+    out /= np.maximum(np.sqrt(np.einsum("ij,ij->i", out, out)), 1e-12)[:, None]
+    return out
 
 
 def _test_matrix(n_terms: int, columns: int, seed: int) -> np.ndarray:
@@ -64,7 +115,7 @@ def _test_matrix(n_terms: int, columns: int, seed: int) -> np.ndarray:
 
 def _gather(n_terms: int, columns: int, passage: int, seed: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x = _test_matrix(n_terms, columns, seed)
+        x = np.vstack([_test_matrix(n_terms, columns, seed), np.zeros((1, columns), np.float32)])
         total = np.zeros((n_terms, columns + 1))
         passages = 0
         for batch in batches:
@@ -73,17 +124,20 @@ def _gather(n_terms: int, columns: int, passage: int, seed: int, parts: int):
                 if not len(hashes):
                     continue
                 term = terms_of(hashes, n_terms)
-                starts, _ = _block_starts(before, passage)
-                size = np.diff(np.append(starts, len(term)))
-                y = np.add.reduceat(x[term], starts, axis=0) / size[:, None].astype(np.float32)
-                owner = np.repeat(np.arange(len(starts)), size)
+                sums = first_blocks(x, term, before)
+                while sums.width < passage:
+                    sums = doubled(sums)
+                real = sums.real
+                size = np.minimum(np.diff(before)[sums.text[real]] - sums.within[real] * passage, passage)
+                y = np.ascontiguousarray((sums.sums[real] / size[:, None].astype(np.float32)).T)
+                owner = np.repeat(np.arange(len(size)), size)
+                for c in range(columns):
+                    total[:, c] += np.bincount(term, y[c][owner], n_terms)
                 order = np.argsort(term, kind="stable")
                 term, owner = term[order], owner[order]
-                first = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]]))
-                total[term[first], :-1] += np.add.reduceat(y[owner], first, axis=0)
                 fresh = np.concatenate([[True], (term[1:] != term[:-1]) | (owner[1:] != owner[:-1])])
-                total[term[first], -1] += np.add.reduceat(fresh.astype(np.float64), first)
-                passages += len(starts)
+                total[:, -1] += np.bincount(term[fresh], minlength=n_terms)
+                passages += len(size)
         if passages:
             for k, part in enumerate(np.array_split(total, parts)):
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary()), pa.array([passages], pa.int64())], ["part", "sums", "passages"])
@@ -180,23 +234,22 @@ def find_leaks(texts: pa.Array, latent: Latent, index: ItemIndex, min_cosine: fl
         return []
     at = np.minimum(np.searchsorted(index.vocabulary, hashes), len(index.vocabulary) - 1)
     known = np.where(index.vocabulary[at] == hashes, at, len(index.vocabulary))
-    vectors = latent.vectors[terms_of(hashes, len(latent.weights))]
+    table = np.vstack([latent.vectors, np.zeros((1, latent.vectors.shape[1]), np.float32)])
+    blocks = first_blocks(table, terms_of(hashes, len(latent.weights)), before)
     best: dict[tuple[int, int], tuple] = {}
     for width, low, high in WIDTHS:
+        while 4 * blocks.width < width:
+            blocks = doubled(blocks)
         chosen = np.flatnonzero((index.sizes >= low) & (index.sizes < high))
         if not len(chosen):
             continue
-        starts, text = _block_starts(before, width // 4)
-        window = np.add.reduceat(vectors, starts, axis=0)
-        blocks = window.copy()
-        for q in range(1, 4):
-            same = text[q:] == text[:-q]
-            window[:-q][same] += blocks[q:][same]
-        window /= np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-12)
+        window, real = windows(blocks), blocks.real
+        text, starts = blocks.text, before[:-1][blocks.text] + blocks.within * blocks.width
         for k in range(0, len(chosen), block_items):
             items = chosen[k : k + block_items]
             cosine = window @ index.vectors[items].T
             w, i = np.nonzero(cosine >= min_cosine)
+            w, i = w[real[w]], i[real[w]]
             if not len(w):
                 continue
             similar, item = cosine[w, i], items[i]
@@ -238,7 +291,7 @@ class Decontaminator:
 
     latent: Latent
     items: list[tuple[int, str]]
-    min_cosine: float = 0.68
+    min_cosine: float = 0.63
     min_lcs: float = 0.55
     min_answer: float = 0.5
     min_words: int = 8
