@@ -81,7 +81,9 @@ def explain_failures(annotated: DataFrame, rules: Rules | None = None) -> DataFr
     """One row for each failed rule of each bad row, with the rule's severity and reason."""
     rules = rules or load_rules()
     severity, reason = (F.create_map(*[F.lit(x) for r in rules.rules for x in (r.name, getattr(r, k))]) for k in ("severity", "description"))
-    exploded = annotated.where(~F.col(VALID)).withColumn("rule_name", F.explode(FAILED))
+    # Outer, then filtered: a plain explode makes the optimiser infer a filter that repeats the whole rule expression and
+    # multiplies it through every projection below.
+    exploded = annotated.withColumn("rule_name", F.explode_outer(FAILED)).where("rule_name IS NOT NULL")
     return exploded.withColumns({"rule_severity": severity[F.col("rule_name")], "failure_reason": reason[F.col("rule_name")]}).drop(FAILED, WARNED, VALID)
 
 
