@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quarryline.operators.enrich import latest_by_key
 
@@ -34,6 +35,10 @@ class Commit:
     at: float = 0.0
 
 
+def _schema(commit: Commit) -> StructType:
+    return StructType.fromJson(json.loads(commit.schema))
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -108,34 +113,34 @@ class TableStore:
         found = self.commit(table, number)
         if found is None:
             raise ValueError(f"no table {table}")
-        columns = self.spark.createDataFrame([], found.schema).columns
+        schema = _schema(found)
         frames = []
         for partition, folders in sorted(found.folders.items()):
             if partitions is None or partition in partitions:
                 frames += [f"{self.root}/{table}/{f}" for f in folders]
         if not frames:
-            return self.spark.createDataFrame([], found.schema)
+            return self.spark.createDataFrame([], schema)
         bases = {f.split("/data/")[0] + "/data/" + f.split("/data/")[1].split("/")[0] for f in frames}
-        parts = [self.spark.read.option("basePath", base).schema(found.schema).parquet(*[f for f in frames if f.startswith(base)]) for base in sorted(bases)]
+        parts = [self.spark.read.option("basePath", base).schema(schema).parquet(*[f for f in frames if f.startswith(base)]) for base in sorted(bases)]
         out = parts[0]
         for more in parts[1:]:
             out = out.unionByName(more)
-        return out.select(columns)
+        return out.select(schema.fieldNames())
 
     # writing
 
     def overwrite(self, table: str, df: DataFrame, partition_by: str | None = None) -> Commit:
         number = (self.commits(table) or [0])[-1] + 1
-        return self._save(table, Commit(number, df.schema.simpleString()[7:-1], self._write(table, df, partition_by)))
+        return self._save(table, Commit(number, df.schema.json(), self._write(table, df, partition_by)))
 
     def append(self, table: str, df: DataFrame, partition_by: str | None = None, batch: tuple[str, int] | None = None) -> Commit:
         now = self.commit(table)
         if now is None:
-            now = Commit(0, df.schema.simpleString()[7:-1])
+            now = Commit(0, df.schema.json())
         if batch and now.batches.get(batch[0], -1) >= batch[1]:
             return now
         folders = {k: list(v) for k, v in now.folders.items()}
-        for k, v in self._write(table, df.select(self.spark.createDataFrame([], now.schema).columns), partition_by).items():
+        for k, v in self._write(table, df.select(_schema(now).fieldNames()), partition_by).items():
             folders.setdefault(k, []).extend(v)
         return self._save(table, Commit(now.number + 1, now.schema, folders, now.batches | ({batch[0]: batch[1]} if batch else {})))
 
@@ -144,10 +149,10 @@ class TableStore:
         committed before is skipped, so a replay changes nothing."""
         now = self.commit(table)
         if now is None:
-            now = Commit(0, updates.schema.simpleString()[7:-1])
+            now = Commit(0, updates.schema.json())
         if batch and now.batches.get(batch[0], -1) >= batch[1]:
             return now
-        columns = self.spark.createDataFrame([], now.schema).columns
+        columns = _schema(now).fieldNames()
         staged = latest_by_key(updates, key, *newest_first).select(columns).persist()
         try:
             if partition_by is None:
