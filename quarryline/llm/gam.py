@@ -147,7 +147,7 @@ def fit_gam(x: np.ndarray, y: np.ndarray, bins: int = 24, pair_bins: int = 8, ro
     """Cyclic boosting on the logistic loss. x: rows by features; y: 0 or 1."""
     rows, width = x.shape
     share = float(y.mean()) if rows else 0.5
-    if not 0 < share < 1:
+    if not rows or not 0 < share < 1:
         bias = 0.0 if not rows else (10.0 if share else -10.0)
         return Gam([np.zeros(0)] * width, [np.zeros(1)] * width, bias=bias)
     edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(width)]
