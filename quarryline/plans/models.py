@@ -317,7 +317,7 @@ def fleet_daily_summary(p: Project) -> DataFrame:
         F.sum("engine_overheat_count").alias("overheat_incidents"),
         F.sum("overspeed_event_count").alias("overspeed_incidents"),
         F.sum("low_fuel_event_count").alias("low_fuel_incidents"),
-        _r(F.avg("utilisation_pct"), 2, "avg_utilisation_pct"),
+        _r(_mean_use(), 2, "avg_utilisation_pct"),
         F.count_if(F.col("max_engine_temperature_c") > OVERHEAT_C).alias("vehicles_overheating"),
     )
 
@@ -353,7 +353,7 @@ def vehicle_performance(p: Project) -> DataFrame:
         F.sum("engine_overheat_count").alias("overheat_event_count"),
         F.sum("overspeed_event_count").alias("overspeed_event_count"),
         F.sum("incident_count").alias("total_incidents"),
-        F.avg("utilisation_pct").alias("use"),
+        _mean_use().alias("use"),
         F.max("event_date").alias("last_active_date"),
     )
     c = F.col

@@ -104,7 +104,7 @@ CTES: dict[str, str] = {
       CASE WHEN sum(total_distance_km) > 0 THEN round(sum(total_fuel_consumed_l) / sum(total_distance_km) * 100, 2) END AS fleet_l_per_100km,
       round(avg(avg_speed_kmh), 2) AS avg_speed_kmh, round(max(max_speed_kmh), 2) AS max_speed_kmh, CAST(sum(incident_count) AS BIGINT) AS total_incidents,
       CAST(sum(engine_overheat_count) AS BIGINT) AS overheat_incidents, CAST(sum(overspeed_event_count) AS BIGINT) AS overspeed_incidents, CAST(sum(low_fuel_event_count) AS BIGINT) AS low_fuel_incidents,
-      round(avg(utilisation_pct), 2) AS avg_utilisation_pct, count_if(max_engine_temperature_c > 100) AS vehicles_overheating FROM fact_daily GROUP BY event_date""",
+      round(sum(CAST(round(utilisation_pct * 100) AS BIGINT)) / count(*) / 1e2, 2) AS avg_utilisation_pct, count_if(max_engine_temperature_c > 100) AS vehicles_overheating FROM fact_daily GROUP BY event_date""",
     "driver_report": """SELECT driver_id, driver_name, driver_category, license_type, CASE WHEN aggression_index < 0.8e0 THEN 'cautious' WHEN aggression_index < 1.3e0 THEN 'normal' ELSE 'aggressive' END AS risk_band,
       total_trips, round(km, 2) AS total_distance_km, round(hours, 2) AS total_driving_hours, round(minutes, 1) AS avg_trip_minutes, round(speed, 2) AS avg_speed_kmh, round(top, 2) AS max_speed_kmh,
       overspeed_event_count, overheating_event_count, CASE WHEN km > 0 THEN round(overspeed_event_count / km * 100, 3) END AS overspeed_events_per_100km,
@@ -120,7 +120,7 @@ CTES: dict[str, str] = {
       overheat_event_count > 0 OR hottest > 115 AS needs_maintenance_review
     FROM (SELECT vehicle_id, count(DISTINCT event_date) AS active_days, CAST(sum(trip_count) AS BIGINT) AS total_trips, sum(total_distance_km) AS km, sum(total_fuel_consumed_l) AS litres, avg(avg_speed_kmh) AS speed,
       max(max_speed_kmh) AS top, max(max_engine_temperature_c) AS hottest, avg(avg_engine_temperature_c) AS warmth, CAST(sum(engine_overheat_count) AS BIGINT) AS overheat_event_count,
-      CAST(sum(overspeed_event_count) AS BIGINT) AS overspeed_event_count, CAST(sum(incident_count) AS BIGINT) AS total_incidents, avg(utilisation_pct) AS use, max(event_date) AS last_active_date
+      CAST(sum(overspeed_event_count) AS BIGINT) AS overspeed_event_count, CAST(sum(incident_count) AS BIGINT) AS total_incidents, sum(CAST(round(utilisation_pct * 100) AS BIGINT)) / count(*) / 1e2 AS use, max(event_date) AS last_active_date
       FROM fact_daily GROUP BY vehicle_id) JOIN vehicles USING (vehicle_id)""",
     "route_report": """SELECT route_id, route_name, CASE WHEN planned_distance_km < 50 THEN 'short_haul' WHEN planned_distance_km < 250 THEN 'medium_haul' ELSE 'long_haul' END AS haul_type, planned_distance_km, total_trips,
       distinct_vehicles, distinct_drivers, round(km, 2) AS avg_actual_distance_km, round(km - planned_distance_km, 2) AS avg_distance_variance_km, round(mean, 1) AS avg_duration_minutes,
