@@ -4,8 +4,10 @@ A document's set is its distinct shingles of k words (64-bit hashes). Two docume
 100 * intersection >= percent * union. Nothing is approximate but the hashes themselves: every link is found.
 
 1. Equal sets are one class, and its smallest id stands for it.
-2. Sets that reach the threshold share one of the shingles that come first in a fixed order (the prefix filter), so
-   documents are put in buckets by those; buckets of one document go.
+2. Sets that reach the threshold share one of the shingles that come first in a fixed order (the prefix filter), and they
+   share `more` of them when so many more are looked at. A document with fewer shared ones than its smallest partner would
+   need has no partner and goes: a passage that many documents hold is far less than that. The rest is put in buckets by
+   the first shingles; buckets of one document go.
 3. Each bucket's smallest id is its leader, and members are first compared to their leaders. Large groups of near copies
    link here, with a number of comparisons in proportion to their members.
 4. In every bucket that still has documents of different components, a signature tree is built: documents in order of
@@ -58,6 +60,11 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
+def more_shared(n: int, percent: int, slack: int) -> int:
+    """Shingles beyond the prefix that a set of n looks at: slack percent of it."""
+    return min(slack * n // 100, n - prefix_length(n, percent)) if n else 0
+
+
 def least_overlap(a, b, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
@@ -69,7 +76,7 @@ def signature(tokens: np.ndarray) -> bytes:
     return np.packbits(out).tobytes()
 
 
-def _sketch(k: int, percent: int):
+def _sketch(k: int, percent: int, slack: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
@@ -79,7 +86,7 @@ def _sketch(k: int, percent: int):
                         piece.column("doc_id"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                        pa.array([s[: prefix_length(len(s), percent)].view(np.int64) for s in sets], pa.list_(pa.int64())),
+                        pa.array([s[: prefix_length(len(s), percent) + more_shared(len(s), percent, slack)].view(np.int64) for s in sets], pa.list_(pa.int64())),
                         pa.array([signature(s) for s in sets], pa.binary()),
                     ],
                     ["doc_id", "n", "digest", "prefix", "sig"],
@@ -218,21 +225,33 @@ def _bucket_trees(percent: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, block: int = 4000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, slack: int = 5, block: int = 4000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, class_id and n_links (links of its class to other classes) of every row."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     texts = id_text(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
-    sketches = scratch.save(texts.mapInArrow(_sketch(k, percent), "doc_id long, n long, digest binary, prefix array<long>, sig binary"))
+    sketches = scratch.save(texts.mapInArrow(_sketch(k, percent, slack), "doc_id long, n long, digest binary, prefix array<long>, sig binary"))
     full = sketches.where("n > 0")
     classes = scratch.save(full.groupBy("digest").agg(F.min("doc_id").alias("class_id")))
     reps = scratch.save(full.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n", "prefix", "sig"))
 
-    keys = reps.select("doc_id", F.explode("prefix").alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("m"), F.min("doc_id").alias("leader")).where("m > 1")
-    members = scratch.save(keys.join(scratch.save(shared), "key").select("key", "doc_id", "leader"))
+    looked_at = reps.select("doc_id", F.explode("prefix").alias("key"))
+    shared = scratch.save(looked_at.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"))
+    scratch.release()
+    least = F.ceil(F.col("n") * percent / 100)
+    # The smallest partner has `least` shingles; what it looks at beyond its prefix is the fewest that they share.
+    counted = looked_at.join(shared, "key", "left_semi").groupBy("doc_id").agg(F.count("*").alias("shared"))
+    hopeful = scratch.save(reps.join(scratch.save(counted), "doc_id").where(F.col("shared") > F.floor(least * slack / 100)).select("doc_id", "n", F.slice("prefix", F.lit(1), (F.col("n") - least + 1).cast("int")).alias("prefix"), "sig"))
+    scratch.drop(shared)
+    scratch.release()
+    keys = hopeful.select("doc_id", F.explode("prefix").alias("key"))
+    buckets = scratch.save(keys.groupBy("key").agg(F.count("*").alias("m"), F.min("doc_id").alias("leader")).where("m > 1").select("key", "leader"))
+    members = scratch.save(keys.join(buckets, "key").select("key", "doc_id", "leader"))
+    wanted = scratch.save(members.select("doc_id").distinct())
+    sets = scratch.save(texts.join(wanted, "doc_id").dropDuplicates(["doc_id"]).mapInArrow(_full_sets(k), "doc_id long, tokens binary"))
+    scratch.drop(wanted)
     scratch.release()
-    size = reps.select("doc_id", "n", "sig")
+    size = hopeful.select("doc_id", "n", "sig")
 
     def possible(pairs: DataFrame) -> DataFrame:
         """Pairs whose sizes and signatures allow the threshold."""
@@ -253,11 +272,8 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, block: in
         return fits.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(check, "a long, b long")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        sets = scratch.save(texts.join(wanted, "doc_id").dropDuplicates(["doc_id"]).mapInArrow(_full_sets(k), "doc_id long, tokens binary"))
         both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y")), "b")
         out = scratch.save(both.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"))
-        scratch.drop(sets)
         scratch.release()
         return out
 
