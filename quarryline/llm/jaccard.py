@@ -248,7 +248,8 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, slack: in
     buckets = scratch.save(keys.groupBy("key").agg(F.count("*").alias("m"), F.min("doc_id").alias("leader")).where("m > 1").select("key", "leader"))
     members = scratch.save(keys.join(buckets, "key").select("key", "doc_id", "leader"))
     wanted = scratch.save(members.select("doc_id").distinct())
-    sets = scratch.save(texts.join(wanted, "doc_id").dropDuplicates(["doc_id"]).mapInArrow(_full_sets(k), "doc_id long, tokens binary"))
+    # By shuffle at every size: the ids grow with the input, so a broadcast would only serve small ones.
+    sets = scratch.save(texts.join(wanted.hint("merge"), "doc_id").dropDuplicates(["doc_id"]).mapInArrow(_full_sets(k), "doc_id long, tokens binary"))
     scratch.drop(wanted)
     scratch.release()
     size = hopeful.select("doc_id", "n", "sig")
