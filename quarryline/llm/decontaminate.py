@@ -7,14 +7,17 @@
    Tasks send partial sums of a fixed size, which are added up in a shuffle; the driver gets terms x columns numbers.
 2. A second pass embeds sliding windows of each text (sums of term vectors over blocks) and the benchmark items, which are
    a stated query set handled in blocks, and takes window-item pairs whose cosine reaches `min_cosine`.
-3. Candidates are verified on the words themselves: an upper bound on the common words first, then the longest common
+3. Beside it stands an exact path, so that nothing hangs on the latent space: a match within a span of twice the item's
+   length needs a fixed number of the item's rarest words there, so the places of these words give every such span. Items
+   under `min_words` words are looked for verbatim.
+4. Candidates are verified on the words themselves: an upper bound on the common words first, then the longest common
    subsequence of item and span over the item's length, and the answer check: the share of the item's rarest words that
    the span holds. Paraphrases that keep order and most words, and lose little of the rare ones, pass.
 
 Nothing of a text leaves its task but verified matches, so no key can be hot.
 
-Nulls: null or empty texts match nothing; null or very short items (under `min_words` words) are not searched for; items
-with equal texts are each reported; repeated documents each give their rows. Empty tables give an empty result.
+Nulls: null or empty texts match nothing; null items and items without words are not searched for; items with equal texts
+are each reported; repeated documents each give their rows. Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import LETTERS, slices, texts_of, words_of
+from .bytewords import LETTERS, prefix_hash, range_hash, slices, texts_of, words_of
 from .common import id_text
 
 SCHEMA = "doc_id long, item_id long, cosine double, lcs_share double, answer_share double, first_word long, last_word long"
@@ -203,7 +206,8 @@ class ItemIndex:
         texts = pa.array([t for _, t in items], pa.string())
         _, _, hashes, before = words_of(*texts_of(texts), LETTERS)
         n_terms = len(latent.weights)
-        chosen = [k for k in range(len(items)) if before[k + 1] - before[k] >= min_words]
+        chosen = [k for k in range(len(items)) if before[k + 1] > before[k]]
+        self.min_words = min_words
         self.ids = [items[k][0] for k in chosen]
         words = [hashes[before[k] : before[k + 1]] for k in chosen]
         self.words = [w.tolist() for w in words]
@@ -226,6 +230,101 @@ class ItemIndex:
     def __len__(self) -> int:
         return len(self.ids)
 
+    def needed(self, items: np.ndarray, min_lcs: float, min_answer: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words (numbers in the vocabulary, in order) with the item (number in items) of each, and how many of them a match
+        holds at least: answer words, or any words of the item where no answer words are asked for."""
+        words, owners, least = [], [], []
+        for k, item in enumerate(items.tolist()):
+            asked = self.answers[item] if min_answer > 0 else self.masks[item].keys()
+            words.append(np.searchsorted(self.vocabulary, np.array(list(asked), np.uint64)))
+            owners.append(np.full(len(asked), k))
+            least.append(next(c for c in range(1, len(asked) + 2) if c / len(asked) >= min_answer) if min_answer > 0 else max(1, int(np.ceil(min_lcs * self.sizes[item] - 1e-9))))
+        word, owner = np.concatenate(words), np.concatenate(owners)
+        order = np.argsort(word, kind="stable")
+        return word[order], owner[order], np.array(least, np.int64)
+
+
+def _starts(known: np.ndarray, ends: np.ndarray, begins: np.ndarray, word: np.ndarray, owner: np.ndarray, least: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Item (number in the block), first and last start of all spans of `width` words that hold `least` of its words.
+    ends, begins: of each word's text."""
+    low, high = np.searchsorted(word, known, "left"), np.searchsorted(word, known, "right")
+    at = np.flatnonzero(high > low)
+    many = (high - low)[at]
+    place = np.repeat(at, many)
+    item = owner[np.repeat(low[at] - np.cumsum(many) + many, many) + np.arange(len(place))]
+    order = np.argsort(item, kind="stable")
+    place, item = place[order], item[order]
+    k = np.arange(len(place))
+    to = k + least[item] - 1
+    k, to = k[to < len(place)], to[to < len(place)]
+    near = (item[k] == item[to]) & (ends[place[k]] == ends[place[to]]) & (place[to] - place[k] < width[item[k]])
+    k, to = k[near], to[near]
+    item, last = item[k], place[k]
+    first = np.maximum(begins[last], place[to] - width[item] + 1)
+    if not len(k):
+        return item, first, last
+    new = np.concatenate([[True], (item[1:] != item[:-1]) | (begins[last[1:]] != begins[last[:-1]]) | (first[1:] > last[:-1] + 1)])
+    cut = np.flatnonzero(new)
+    return item[cut], first[cut], last[np.append(cut[1:], len(new)) - 1]
+
+
+def _best_span(hashes: np.ndarray, mine: np.ndarray, first: int, last: int, end: int, index: ItemIndex, item: int, min_lcs: float, min_answer: float) -> tuple[float, float, int] | None:
+    """lcs share, answer share and start of the best span of twice the item's length that starts in first to last; mine
+    tells which of the words from first on are the item's. A span may as well start at a word of the item."""
+    size = int(index.sizes[item])
+    place = np.flatnonzero(mine) + first
+    if len(place) < min_lcs * size:
+        return None
+    words, place = hashes[place].tolist(), place
+    if lcs_length(index.masks[item], size, words) < min_lcs * size:
+        return None
+    stop = np.searchsorted(place, np.minimum(place + 2 * size, end)).tolist()
+    best = None
+    for k in range(int(np.searchsorted(place, last, "right"))):
+        span = words[k : stop[k]]
+        if len(span) >= min_lcs * size and (answer := len(index.answers[item].intersection(span)) / len(index.answers[item])) >= min_answer:
+            share = lcs_length(index.masks[item], size, span) / size
+            if share >= min_lcs and (best is None or (share, answer) > best[:2]):
+                best = (share, answer, int(place[k]))
+                if share == answer == 1:
+                    break
+    return best
+
+
+def find_by_words(hashes: np.ndarray, known: np.ndarray, before: np.ndarray, index: ItemIndex, min_lcs: float, min_answer: float, block_items: int = 512) -> list[tuple[int, int, float, float, int, int]]:
+    """(text, item, lcs share, answer share, first, end) of all items with a span of twice their length that passes, and of
+    short items that stand verbatim; first and end count in hashes."""
+    text = np.repeat(np.arange(len(before) - 1), np.diff(before))
+    begins, ends = before[:-1][text], before[1:][text]
+    best: dict[tuple[int, int], tuple] = {}
+    chosen = np.flatnonzero(index.sizes >= index.min_words)
+    for k in range(0, len(chosen), block_items):
+        items = chosen[k : k + block_items]
+        size = index.sizes[items]
+        for i, low, high in zip(*(v.tolist() for v in _starts(known, ends, begins, *index.needed(items, min_lcs, min_answer), 2 * size)), strict=True):
+            item, n, end, doc = int(items[i]), int(size[i]), int(ends[low]), int(text[low])
+            for first in range(low, high + 1, 2 * n):
+                if best.get((doc, item), (0, 0))[:2] == (1, 1):
+                    break
+                last = min(high, first + 2 * n - 1)
+                found = _best_span(hashes, index.has[known[first : min(last + 2 * n, end)], item], first, last, end, index, item, min_lcs, min_answer)
+                if found and found[:2] > best.get((doc, item), (0, 0))[:2]:
+                    best[doc, item] = (*found, min(found[2] + 2 * n, end))
+    short = np.flatnonzero(index.sizes < index.min_words)
+    rolling = prefix_hash(hashes) if len(short) else None
+    for n in np.unique(index.sizes[short]).tolist():
+        start = np.flatnonzero(np.arange(len(hashes)) + n <= ends)
+        window = range_hash(rolling, start, start + n)
+        wanted: dict[int, list[int]] = defaultdict(list)
+        for item in short[index.sizes[short] == n].tolist():
+            wanted[int(range_hash(prefix_hash(np.array(index.words[item], np.uint64)), np.array([0]), np.array([n]))[0])].append(item)
+        for k in np.flatnonzero(np.isin(window, np.array(list(wanted), np.uint64))).tolist():
+            at = int(start[k])
+            for item in wanted[int(window[k])]:
+                if hashes[at : at + n].tolist() == index.words[item]:
+                    best.setdefault((int(text[at]), item), (1.0, 1.0, at, at + n))
+    return [(doc, item, *found) for (doc, item), found in best.items()]
+
 
 def find_leaks(texts: pa.Array, latent: Latent, index: ItemIndex, min_cosine: float, min_lcs: float, min_answer: float, block_items: int = 512) -> list[tuple[int, int, float, float, float, int, int]]:
     """(text, item, cosine, lcs share, answer share, first word, last word) of the verified matches, one for each pair."""
@@ -235,12 +334,13 @@ def find_leaks(texts: pa.Array, latent: Latent, index: ItemIndex, min_cosine: fl
     at = np.minimum(np.searchsorted(index.vocabulary, hashes), len(index.vocabulary) - 1)
     known = np.where(index.vocabulary[at] == hashes, at, len(index.vocabulary))
     table = np.vstack([latent.vectors, np.zeros((1, latent.vectors.shape[1]), np.float32)])
-    blocks = first_blocks(table, terms_of(hashes, len(latent.weights)), before)
+    term = terms_of(hashes, len(latent.weights))
+    blocks = first_blocks(table, term, before)
     best: dict[tuple[int, int], tuple] = {}
     for width, low, high in WIDTHS:
         while 4 * blocks.width < width:
             blocks = doubled(blocks)
-        chosen = np.flatnonzero((index.sizes >= low) & (index.sizes < high))
+        chosen = np.flatnonzero((index.sizes >= max(low, index.min_words)) & (index.sizes < high))
         if not len(chosen):
             continue
         window, real = windows(blocks), blocks.real
@@ -274,6 +374,12 @@ def find_leaks(texts: pa.Array, latent: Latent, index: ItemIndex, min_cosine: fl
                     found = (share, cos, answer, a - int(before[doc]), b - int(before[doc]))
                     if found > best.get((doc, it), (0,)):
                         best[doc, it] = found
+    for doc, it, share, answer, a, b in find_by_words(hashes, known, before, index, min_lcs, min_answer, block_items):
+        vector = table[term[a:b]].sum(0)
+        cos = float(vector @ index.vectors[it] / max(np.linalg.norm(vector), 1e-12))
+        found = (share, cos, answer, a - int(before[doc]), b - int(before[doc]))
+        if found > best.get((doc, it), (0,)):
+            best[doc, it] = found
     return [(doc, it, cos, share, answer, a, b) for (doc, it), (share, cos, answer, a, b) in sorted(best.items())]
 
 

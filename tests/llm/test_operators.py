@@ -262,3 +262,43 @@ def test_lcs_by_bits():
         for i, x in enumerate(a):
             masks[x] |= 1 << i
         assert decontaminate.lcs_length(masks, len(a), b) == table[-1][-1]
+
+
+def test_decontamination_recall_against_brute_force(spark):
+    """Every span of twice the item's length that passes is found, at each item length and rewrite rate; short items verbatim."""
+    rng = random.Random(7)
+    lexicon = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 6))) for _ in range(500)]
+    text = lambda n: [rng.choice(lexicon) for _ in range(n)]
+    items = [(n * 10 + i, text(n)) for n in (2, 5, 8, 10, 24, 40, 90) for i in range(4)]
+    docs, planted = [(k, text(60)) for k in range(100)], {}
+    for item, words in items:
+        for rate in (0, 20, 30, 40):
+            if not rate or len(words) >= 8:
+                doc = 1000 + len(planted)
+                planted[doc] = (item, rate)
+                docs.append((doc, text(37) + [rng.choice(lexicon) if rng.random() * 100 < rate else w for w in words] + text(35)))
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string").coalesce(2)
+    bench = [(i, " ".join(w)) for i, w in items]
+    search = decontaminate.Decontaminator(decontaminate.fit_latent(df), bench)
+    index = decontaminate.ItemIndex(bench, search.latent, search.min_words, search.answer_part)
+    hashed = lambda words: decontaminate.words_of(*decontaminate.texts_of(decontaminate.pa.array([" ".join(words)])), decontaminate.LETTERS)[2].tolist()
+    want = collections.Counter()
+    got = {(r["doc_id"], r["item_id"]) for r in search.matches(df).collect()}
+    for doc, words in docs:
+        h = hashed(words)
+        for k, item in enumerate(index.ids):
+            n = int(index.sizes[k])
+            width = 2 * n if n >= search.min_words else n
+            passes = False
+            for s in range(len(h)):
+                span = h[s : s + width]
+                if n < search.min_words:
+                    passes |= span == index.words[k]
+                elif len(index.answers[k].intersection(span)) / len(index.answers[k]) >= search.min_answer:
+                    passes |= decontaminate.lcs_length(index.masks[k], n, span) / n >= search.min_lcs
+                if passes:
+                    break
+            if passes:
+                want[(n, planted.get(doc, (None, None))[1])] += 1
+                assert (doc, item) in got, (n, planted.get(doc))
+    assert all(want[n, 0] >= 4 for n in (2, 5, 8, 10, 24, 40, 90)) and all(want[n, 30] for n in (8, 10, 24, 40, 90))
