@@ -33,7 +33,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that repeat the kept id are copies too: one of them stays. Rows with a null id are not compared and stay."""
-    groups = Scratch(spark, "near-copies").save(jaccard_components(docs, k=5, percent=80).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct())
+    groups = Scratch(spark, "near-copies").save(jaccard_components(docs, k=5, percent=80, with_links=False).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct())
     one = docs.join(groups, docs["doc_id"].cast("long") == groups["kept_id"], "left_semi").dropDuplicates(["doc_id"])
     return one.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
 

@@ -15,7 +15,10 @@ A document's set is its distinct shingles of k words (64-bit hashes). Two docume
    hide behind a shared bit. A dual traversal goes down pairs of nodes and drops those whose sizes don't fit, that lie in
    one component, or whose largest possible overlap is too small. Buckets of more than `block` documents are dealt out as
    pairs of blocks, so that no task holds more than two blocks.
-5. Pairs that remain are verified on the sets themselves.
+5. Pairs that remain are verified on the sets themselves. That gives the components.
+6. Every link lies inside a component, so links are counted there: the sets of each component meet, a large one dealt out
+   as pairs of blocks, and products of their incidence matrices give all overlaps. Only counts leave the tasks, but a
+   component costs the square of its classes, as many as it can have links.
 
 Nulls: a null or empty text, or one without words, has an empty set and links with nothing; rows with a null id are left
 out. A doc_id names one text; rows that repeat it link with each other by being equal and each give a row.
@@ -225,8 +228,74 @@ def _bucket_trees(percent: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, slack: int = 5, block: int = 4000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, class_id and n_links (links of its class to other classes) of every row."""
+def _links_of(sets: list[np.ndarray], side: np.ndarray, percent: int, cross: bool, columns: int = 4096) -> np.ndarray:
+    """For each set, the number of others (where cross: on the other side) that it links with."""
+    n = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), n)
+    _, token, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    held = times[token] > 1
+    owner, token = owner[held], (np.cumsum(times > 1) - 1)[token[held]]
+    order = np.argsort(token, kind="stable")
+    owner, token = owner[order], token[order]
+    common = np.zeros((len(sets), len(sets)))
+    for low in range(0, int(token[-1]) + 1 if len(token) else 0, columns):
+        a, b = np.searchsorted(token, [low, low + columns])
+        part = np.zeros((len(sets), min(columns, int(token[b - 1]) + 1 - low)), np.float32)
+        part[owner[a:b], token[a:b] - low] = 1
+        common += part @ part.T
+    linked = (common > 0) & (100 * common >= percent * (n[:, None] + n[None, :] - common))
+    np.fill_diagonal(linked, False)
+    if cross:
+        linked &= side[:, None] != side[None, :]
+    return linked.sum(1)
+
+
+def _count_links(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, int, bytes]] = []
+        key = None
+
+        def counted() -> pa.RecordBatch:
+            ids, own, tokens = zip(*held, strict=True)
+            n = _links_of([np.frombuffer(t, np.uint64) for t in tokens], np.array(own), percent, key[1] != key[2])
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64())], ["doc_id", "links"])
+
+        for b in batches:
+            for *now, doc, own, tokens in zip(*(b.column(c).to_pylist() for c in ("component", "i", "j", "doc_id", "own", "tokens")), strict=True):
+                if held and now != key:
+                    yield counted()
+                    held = []
+                key = now
+                held.append((doc, own, tokens))
+        if held:
+            yield counted()
+
+    return run
+
+
+def count_links(components: DataFrame, size: DataFrame, sets: DataFrame, percent: int, block: int, scratch: Scratch, block_tokens: int = 4_000_000) -> DataFrame:
+    """class_id, n_links of every id of components (id, component): all links to others, each pair tested in one task."""
+    of_id = scratch.save(components.join(size.select(F.col("doc_id").alias("id"), "n"), "id"))
+    totals = scratch.save(of_id.groupBy("component").agg(F.count("*").alias("m"), F.sum("n").alias("tokens")).select("component", F.greatest(F.ceil(F.col("m") / block), F.ceil(F.col("tokens") / block_tokens)).cast("int").alias("blocks"), (F.col("m") == 2).alias("pair")))
+    placed = scratch.save(of_id.join(totals, "component").select(F.col("id").alias("doc_id"), "component", "blocks", "pair"))
+    rows = placed.where("NOT pair").join(sets, "doc_id").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    counted = dealt.select("component", "i", "j", "doc_id", "own", "tokens").repartition("component", "i", "j").sortWithinPartitions("component", "i", "j").mapInArrow(_count_links(percent), "doc_id long, links long")
+    of_many = counted.groupBy(F.col("doc_id").alias("class_id")).agg(F.sum("links").alias("n_links"))
+    out = scratch.save(of_many.unionByName(placed.where("pair").select(F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_links"))))
+    scratch.drop(of_id, totals, placed)
+    scratch.release()
+    return out
+
+
+#: Classes of a block whose links are counted together.
+COUNTED = 512
+
+
+def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, slack: int = 5, block: int = 4000, id_col: str = "doc_id", text_col: str = "text", with_links: bool = True) -> DataFrame:
+    """doc_id, n_shingles, component_id, class_id and n_links (all links of its class to other classes) of every row.
+
+    Without with_links there is no n_links, for callers that need only the components."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     texts = id_text(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
@@ -293,9 +362,10 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, slack: in
         links = scratch.save(links.unionByName(verified(rest)))
     components = connected_components(links, scratch)
 
-    ends = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links"))
+    ends = count_links(components, size, sets, percent, min(block, COUNTED), scratch) if with_links else links.sparkSession.createDataFrame([], "class_id long, n_links long")
     of_class = classes.join(components.withColumnRenamed("id", "class_id"), "class_id", "left").join(ends, "class_id", "left").select("digest", "class_id", F.coalesce("component", "class_id").alias("component"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     of_class = scratch.save(of_class)
     out = sketches.select("doc_id", "n", "digest").join(of_class, "digest", "left")
     alone = F.col("n") == 0
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"), F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"), F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return out if with_links else out.drop("n_links")

@@ -302,3 +302,18 @@ def test_decontamination_recall_against_brute_force(spark):
                 want[(n, planted.get(doc, (None, None))[1])] += 1
                 assert (doc, item) in got, (n, planted.get(doc))
     assert all(want[n, 0] >= 4 for n in (2, 5, 8, 10, 24, 40, 90)) and all(want[n, 30] for n in (8, 10, 24, 40, 90))
+
+
+@pytest.mark.parametrize("block", [4000, 2])
+def test_jaccard_counts_every_link(spark, block):
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(base), " ".join(base)]
+    for i in range(9):  # each has its own words changed: the near ones all link with each other
+        texts.append(" ".join("x" + w if k in range(5 * i, 5 * i + 1 + i) else w for k, w in enumerate(base)))
+    texts += [" ".join(f"y{i}" for i in range(s, s + 100)) for s in (0, 4, 8)] + [" ".join(f"z{i}" for i in range(s, s + 100)) for s in (0, 2)] + [None, "alone"]
+    sets = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w := (t or "").split()) >= 3 else {tuple(w)} - {()} for t in texts]
+    distinct = [s for k, s in enumerate(sets) if s not in sets[:k]]
+    want = [sum(s != t and bool(s & t) and 10 * len(s & t) >= 9 * len(s | t) for t in distinct) for s in sets]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = by_id(jaccard.jaccard_components(df, 3, 90, block=block))
+    assert [got[i]["n_links"] for i in range(len(texts))] == want and max(want) > 3 and {0, 1, 2} < set(want)
