@@ -10,7 +10,7 @@ after is the frame, what lies between is the text. Loss spans are these places.
 so that any text, control strings included, is read back exactly by `read_marked`.
 
 Prefixes go back at most `window` turns, so a very long conversation costs window times its length; it is streamed
-through one task in turn order, and of it only that window is held.
+through one task in turn order, and of it only that window and the formatted text are held.
 
 Nulls: a null text or role is empty; rows with a null conv_id form one conversation; a null turn stands first; rows with
 equal turns stand in order of role and text, repeated rows are turns of their own.
@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 Turns = list[tuple[str, str]]
-SCHEMA = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_rewrites long, n_unlocated long, loss_spans array<struct<start:long,end:long>>, formatted_sha256 string"
-_KINDS = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_rewrites", pa.int64()), ("n_unlocated", pa.int64()), ("loss_spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("formatted_sha256", pa.string())])
+SCHEMA = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_rewrites long, n_unlocated long, loss_spans array<struct<start:long,end:long>>, formatted_sha256 string, formatted string"
+_KINDS = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_rewrites", pa.int64()), ("n_unlocated", pa.int64()), ("loss_spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("formatted_sha256", pa.string()), ("formatted", pa.string())])
 
 
 def escape(text: str) -> str:
@@ -113,6 +113,7 @@ class _Digest:
         self.turns, self.loss, self.formatted = hashlib.sha256(), hashlib.sha256(), hashlib.sha256()
         self.n_turns = self.loss_chars = self.chars = self.rewrites = self.unlocated = 0
         self.spans: list[dict] = []
+        self.parts: list[str] = []
 
     def add(self, role: str, text: str) -> None:
         wanted = role in self.loss_roles
@@ -130,26 +131,29 @@ class _Digest:
                 self.loss_chars += len(said)
                 self.loss.update(said.encode("utf-8", "surrogatepass"))
         self.chars += len(span)
+        self.parts.append(span)
         self.formatted.update(span.encode("utf-8", "surrogatepass"))
 
     def row(self) -> dict:
-        return {"conv_id": self.conv_id, "n_turns": self.n_turns, "turns_sha256": self.turns.hexdigest(), "loss_chars": self.loss_chars, "loss_sha256": self.loss.hexdigest(), "formatted_chars": self.chars, "n_rewrites": self.rewrites, "n_unlocated": self.unlocated, "loss_spans": self.spans, "formatted_sha256": self.formatted.hexdigest()}
+        return {"conv_id": self.conv_id, "n_turns": self.n_turns, "turns_sha256": self.turns.hexdigest(), "loss_chars": self.loss_chars, "loss_sha256": self.loss.hexdigest(), "formatted_chars": self.chars, "n_rewrites": self.rewrites, "n_unlocated": self.unlocated, "loss_spans": self.spans, "formatted_sha256": self.formatted.hexdigest(), "formatted": "".join(self.parts)}
 
 
 def _formatter(template, read, undo, loss_roles: tuple[str, ...], window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: _Digest | None = None
         done: list[dict] = []
+        chars = 0
         for b in batches:
             for conv_id, role, text in zip(*(b.column(c).to_pylist() for c in ("conv_id", "role", "text")), strict=True):
                 if now is None or now.conv_id != conv_id:
                     if now is not None:
                         done.append(now.row())
+                        chars += now.chars
                     now = _Digest(conv_id, template, read, undo, loss_roles, window)
                 now.add(role, text)
-                if len(done) >= 1000:
+                if len(done) >= 1000 or chars >= 1 << 22:
                     yield pa.RecordBatch.from_pylist(done, _KINDS)
-                    done = []
+                    done, chars = [], 0
         if now is not None:
             done.append(now.row())
         if done:
@@ -161,6 +165,7 @@ def _formatter(template, read, undo, loss_roles: tuple[str, ...], window: int):
 def format_chats(chats: DataFrame, template: Callable[[Turns], str] = marked_turns, read: Callable[[str], Turns] = read_marked, undo: Callable[[str], str] = unescape, loss_roles: tuple[str, ...] = ("assistant",), window: int = 512) -> DataFrame:
     """One row for each conversation of `chats` (conv_id, turn, role, text; other columns are not read).
 
+    formatted is the text that loss_spans point into: the spans of all turns one after another.
     n_rewrites counts turns whose rendering changed earlier output, n_unlocated loss turns whose text was not found in
     their span; both are 0 for a template that only appends and frames texts.
     """

@@ -11,7 +11,7 @@ The unit of work is a buffer of at most `buffer_docs` documents or `buffer_token
 is bounded and nothing is shuffled. A window is padded to the longest size unless its length is a power of two.
 
 Nulls: a null text is empty, so the document is its end id alone. Repeated rows and equal ids each lie in pieces of their
-own. Rows come out as they are packed; sequence ids hold the partition number in their upper bits.
+own. Rows come out as they are packed, with the ids of their piece: those of a sequence, by offset, are its content; sequence ids hold the partition number in their upper bits.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from .common import id_text
 from .vocab import vocabulary
 
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, tier long, step_group long"
+SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, tier long, step_group long, ids array<int>"
 _NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
 
 
@@ -128,18 +128,22 @@ def _packer(tokenizer: str, folder: str | None, end_id: int, max_len: int, short
         def flush() -> pa.RecordBatch:
             nonlocal made, groups_made, docs, ids, held
             rows: list[tuple] = []
+            content: list[np.ndarray] = []
             windows = pack([len(x) for x in ids], max_len, shortest)
             sizes = [sum(p[2] for p in w) for w in windows]
             groups = step_groups(sizes, group_tokens)
             for window, size, group in zip(windows, sizes, groups, strict=True):
                 offset = 0
                 for doc, start, n in window:
-                    rows.append((docs[doc], start, n, zlib.crc32(ids[doc][start : start + n].tobytes()), len(ids[doc]), part + made, offset, size, min(max_len, 1 << (size - 1).bit_length()), part + groups_made + group))
+                    content.append(ids[doc][start : start + n].view("<i4"))
+                    rows.append((docs[doc], start, n, zlib.crc32(content[-1].tobytes()), len(ids[doc]), part + made, offset, size, min(max_len, 1 << (size - 1).bit_length()), part + groups_made + group))
                     offset += n
                 made += 1
             groups_made += 1 + max(groups, default=-1)
             docs, ids, held = [], [], 0
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * len(_NAMES))], _NAMES)
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in content], dtype=np.int64)]).astype(np.int32)
+            packed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(content) if content else np.zeros(0, np.int32)))
+            return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * (len(_NAMES) - 1))), packed], _NAMES)
 
         for b in batches:
             texts = [t or "" for t in b.column("text").to_pylist()]
@@ -157,5 +161,5 @@ def _packer(tokenizer: str, folder: str | None, end_id: int, max_len: int, short
 
 
 def pack_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", tokenizer_dir: str | None = None, end_id: int = 1, max_len: int = 2048, shortest_tier: int = 64, group_tokens: int = 2048 * 64, buffer_docs: int = 20_000, buffer_tokens: int = 8_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each piece of a document, with its place in its window (`sequence_id`, `offset`)."""
+    """One row for each piece of a document, with its place in its window (`sequence_id`, `offset`) and its token ids."""
     return id_text(docs, id_col, text_col).mapInArrow(_packer(tokenizer, tokenizer_dir, end_id, max_len, shortest_tier, group_tokens, buffer_docs, buffer_tokens), SCHEMA)

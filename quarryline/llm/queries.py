@@ -69,7 +69,7 @@ def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(documents(spark, sf_dir))
+    return pack_documents(documents(spark, sf_dir)).drop("ids")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_fertility, op2_chat_format, op3_suffix_dedup, op4_decontamination, op5_jaccard, op6_license_scan, op7_token_counts, op8_quality, op9_pseudonyms, op10_packing)}

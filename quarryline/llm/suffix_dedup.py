@@ -15,7 +15,8 @@ are judged on the input.
    has a shorter common extension between them.
 4. Grams with more than `most` distinct segments are not sorted in one task: their windows are counted by hash instead,
    with partial counts before the shuffle, and those that repeat are joined back. That is exact too.
-5. The repeated windows of each document are united, and the rest of its bytes is hashed.
+5. The repeated windows of each document are united and cut out; what stays comes out with the spans that went. Both are
+   bytes, as a repeat may begin or end inside a character.
 
 Two 64-bit hashes over different ranges must agree before segments count as equal.
 
@@ -25,7 +26,6 @@ returned whole. A doc_id names one text; rows that repeat it are copies of it, a
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from functools import cmp_to_key
 
@@ -231,29 +231,39 @@ def _windows(length: int):
     return run
 
 
+_KINDS = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
+
+
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for b in slices(batch, "text", 1 << 22):
             rows = []
             for doc, text, spans in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True):
                 raw = (text or "").encode("utf-8", "surrogatepass")
-                kept, removed, runs, at = hashlib.sha256(), 0, 0, 0
+                kept, removed, at = [], [], 0
                 low = high = -1
                 for x in [*sorted((s["start"], s["end"]) for s in spans or ()), (len(raw) + 1, 0)]:
                     if x[0] > high:
                         if high > low:
-                            kept.update(raw[at:low])
-                            removed, runs, at = removed + high - low, runs + 1, high
+                            kept.append(raw[at:low])
+                            removed.append({"start": low, "end": high})
+                            at = high
                         low, high = x
                     else:
                         high = max(high, x[1])
-                kept.update(raw[at:])
-                rows.append((doc, len(raw), removed, runs, kept.hexdigest()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 4 + [pa.string()], strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                kept.append(raw[at:])
+                rows.append((doc, len(raw), b"".join(kept), removed))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _KINDS, strict=True)], ["doc_id", "n_bytes", "kept", "removed"])
+
+
+def remove_repeats(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and the hash of the bytes that stay, for every row of docs; options as for deduplicate."""
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return deduplicate(docs, **options).select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 160, most: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and the hash of the bytes that stay, for every row of docs."""
+def deduplicate(docs: DataFrame, length: int = 400, gram: int = 160, most: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_bytes, kept (the bytes that stay) and removed (spans of bytes of the text, ends excluded), for every row of docs."""
     if not 8 <= gram < length:
         raise ValueError("gram must be at least 8 and under length")
     spark = docs.sparkSession
@@ -291,4 +301,4 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 160, most: in
     spans = scratch.save(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
     scratch.drop(cut, shared)
     scratch.release()
-    return texts.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return texts.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(_remove, "doc_id long, n_bytes long, kept binary, removed array<struct<start:long,end:long>>")

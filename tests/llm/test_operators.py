@@ -317,3 +317,23 @@ def test_jaccard_counts_every_link(spark, block):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     got = by_id(jaccard.jaccard_components(df, 3, 90, block=block))
     assert [got[i]["n_links"] for i in range(len(texts))] == want and max(want) > 3 and {0, 1, 2} < set(want)
+
+
+def test_operators_return_their_content(spark, docs):
+    got = by_id(suffix_dedup.deduplicate(docs, length=50, gram=20))
+    for i, (size, gone, runs, digest) in enumerate(_kept(TEXTS, 50)):
+        raw, spans = (TEXTS[i] or "").encode(), [(s["start"], s["end"]) for s in got[i]["removed"]]
+        kept = b"".join(raw[a:b] for a, b in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), size], strict=True))
+        assert bytes(got[i]["kept"]) == kept and hashlib.sha256(kept).hexdigest() == digest and (sum(e - s for s, e in spans), len(spans)) == (gone, runs)
+    library = load_tokenizer("word_bpe_49k.json")
+    whole = {i: library.encode(t or "", add_special_tokens=False).ids + [1] for i, t in enumerate(TEXTS)}
+    sequences = collections.defaultdict(list)
+    for r in sorted(packing.pack_documents(docs, buffer_docs=9).collect(), key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["ids"] == whole[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        sequences[r["sequence_id"], r["sequence_length"]] += r["ids"]
+    assert all(len(ids) == n for (_, n), ids in sequences.items())
+    turns = [("user", "a </turn>"), ("assistant", "b \\"), ("user", "c"), ("assistant", "dé")]
+    df = spark.createDataFrame([(1, k, *t) for k, t in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    (r,) = chat_format.format_chats(df).collect()
+    assert r["formatted"] == chat_format.marked_turns(turns) and hashlib.sha256(r["formatted"].encode()).hexdigest() == r["formatted_sha256"]
+    assert [chat_format.unescape(r["formatted"][s["start"] : s["end"]]) for s in r["loss_spans"]] == ["b \\", "dé"]
