@@ -9,8 +9,9 @@ after is the frame, what lies between is the text. Loss spans are these places.
 `marked_turns` is the production template: it marks turns and escapes its own control characters inside texts and roles,
 so that any text, control strings included, is read back exactly by `read_marked`.
 
-Prefixes go back at most `window` turns, so a very long conversation costs window times its length; it is streamed
-through one task in turn order, and of it only that window and the formatted text are held.
+Whole prefixes are rendered, which costs the square of a conversation's turns, unless the template is declared to append
+only: then prefixes go back at most `window` turns, and n_cut counts the turns rendered so. A conversation is streamed
+through one task in turn order, and of it only the prefix and the formatted text are held.
 
 Nulls: a null text or role is empty; rows with a null conv_id form one conversation; a null turn stands first; rows with
 equal turns stand in order of role and text, repeated rows are turns of their own.
@@ -27,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 Turns = list[tuple[str, str]]
-SCHEMA = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_rewrites long, n_unlocated long, loss_spans array<struct<start:long,end:long>>, formatted_sha256 string, formatted string"
-_KINDS = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_rewrites", pa.int64()), ("n_unlocated", pa.int64()), ("loss_spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("formatted_sha256", pa.string()), ("formatted", pa.string())])
+SCHEMA = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_rewrites long, n_unlocated long, loss_spans array<struct<start:long,end:long>>, formatted_sha256 string, formatted string, n_cut long"
+_KINDS = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_rewrites", pa.int64()), ("n_unlocated", pa.int64()), ("loss_spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("formatted_sha256", pa.string()), ("formatted", pa.string()), ("n_cut", pa.int64())])
 
 
 def escape(text: str) -> str:
@@ -78,16 +79,19 @@ class IncrementalRender:
 
     PROBES = ("a", "b")
 
-    def __init__(self, template: Callable[[Turns], str], window: int = 512):
+    def __init__(self, template: Callable[[Turns], str], window: int | None = 512):
         self.template, self.window = template, window
         self.turns: Turns = []
         self.output = template([])
+        self.is_cut, self.n_cut = False, 0
 
     def push(self, role: str, text: str, locate: bool) -> tuple[str, tuple[int, int] | None, bool]:
         """The span, the text's place in the span (None if not asked for or not found), whether history was rewritten."""
-        if len(self.turns) >= self.window:
+        if self.window is not None and len(self.turns) >= self.window:
+            self.is_cut = True
             self.turns = self.turns[-(self.window // 2) :]
             self.output = self.template(self.turns)
+        self.n_cut += self.is_cut
         before, prefix = self.output, list(self.turns)
         self.turns.append((role, text))
         self.output = self.template(self.turns)
@@ -135,10 +139,10 @@ class _Digest:
         self.formatted.update(span.encode("utf-8", "surrogatepass"))
 
     def row(self) -> dict:
-        return {"conv_id": self.conv_id, "n_turns": self.n_turns, "turns_sha256": self.turns.hexdigest(), "loss_chars": self.loss_chars, "loss_sha256": self.loss.hexdigest(), "formatted_chars": self.chars, "n_rewrites": self.rewrites, "n_unlocated": self.unlocated, "loss_spans": self.spans, "formatted_sha256": self.formatted.hexdigest(), "formatted": "".join(self.parts)}
+        return {"conv_id": self.conv_id, "n_turns": self.n_turns, "turns_sha256": self.turns.hexdigest(), "loss_chars": self.loss_chars, "loss_sha256": self.loss.hexdigest(), "formatted_chars": self.chars, "n_rewrites": self.rewrites, "n_unlocated": self.unlocated, "loss_spans": self.spans, "formatted_sha256": self.formatted.hexdigest(), "formatted": "".join(self.parts), "n_cut": self.render.n_cut}
 
 
-def _formatter(template, read, undo, loss_roles: tuple[str, ...], window: int):
+def _formatter(template, read, undo, loss_roles: tuple[str, ...], window: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: _Digest | None = None
         done: list[dict] = []
@@ -162,13 +166,15 @@ def _formatter(template, read, undo, loss_roles: tuple[str, ...], window: int):
     return run
 
 
-def format_chats(chats: DataFrame, template: Callable[[Turns], str] = marked_turns, read: Callable[[str], Turns] = read_marked, undo: Callable[[str], str] = unescape, loss_roles: tuple[str, ...] = ("assistant",), window: int = 512) -> DataFrame:
+def format_chats(chats: DataFrame, template: Callable[[Turns], str] = marked_turns, read: Callable[[str], Turns] = read_marked, undo: Callable[[str], str] = unescape, loss_roles: tuple[str, ...] = ("assistant",), window: int = 512, append_only: bool | None = None) -> DataFrame:
     """One row for each conversation of `chats` (conv_id, turn, role, text; other columns are not read).
 
+    append_only declares that the template only adds to its output, turn by turn, whatever stands before; by default only
+    marked_turns counts as such.
     formatted is the text that loss_spans point into: the spans of all turns one after another.
     n_rewrites counts turns whose rendering changed earlier output, n_unlocated loss turns whose text was not found in
     their span; both are 0 for a template that only appends and frames texts.
     """
     rows = chats.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return dealt.mapInArrow(_formatter(template, read, undo, loss_roles, window), SCHEMA)
+    return dealt.mapInArrow(_formatter(template, read, undo, loss_roles, window if (template is marked_turns if append_only is None else append_only) else None), SCHEMA)

@@ -337,3 +337,13 @@ def test_operators_return_their_content(spark, docs):
     (r,) = chat_format.format_chats(df).collect()
     assert r["formatted"] == chat_format.marked_turns(turns) and hashlib.sha256(r["formatted"].encode()).hexdigest() == r["formatted_sha256"]
     assert [chat_format.unescape(r["formatted"][s["start"] : s["end"]]) for s in r["loss_spans"]] == ["b \\", "dé"]
+
+
+def test_chat_renders_whole_prefixes_of_any_template(spark):
+    turns = [("assistant" if k % 2 else "user", f"t{k}") for k in range(40)]
+    df = spark.createDataFrame([(1, k, *t) for k, t in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    numbers = lambda ts: "".join(f"{k}[{r}]{t}|" for k, (r, t) in enumerate(ts))
+    (r,) = chat_format.format_chats(df, numbers, read=lambda s: [], undo=str, window=8).collect()
+    assert r["formatted"] == numbers(turns) and r["n_cut"] == r["n_rewrites"] == r["n_unlocated"] == 0
+    (r,) = chat_format.format_chats(df, window=8).collect()
+    assert r["formatted"] == chat_format.marked_turns(turns) and r["n_cut"] == 32
