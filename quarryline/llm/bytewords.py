@@ -39,6 +39,44 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers, _inverses
 
 
+#: A second ring for the hashes of words: modulo a prime, so that no word can collide in both by its structure alone.
+_PRIME, _BASE_2 = np.uint64((1 << 31) - 1), 1_315_423_911
+_powers_2 = np.ones(1, np.uint64)
+_inverses_2 = np.ones(1, np.uint64)
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """A value below 2**33 that equals x modulo the prime."""
+    return (x & _PRIME) + (x >> np.uint64(31))
+
+
+def _modulo(x: np.ndarray) -> np.ndarray:
+    x = _fold(_fold(x))
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
+def _tables_2(n: int) -> tuple[np.ndarray, np.ndarray]:
+    global _powers_2, _inverses_2
+    if len(_powers_2) < n:
+        n = max(n, 1 << 20)
+        found = []
+        for base in (_BASE_2, pow(_BASE_2, -1, int(_PRIME))):
+            out, step = np.ones(1, np.uint64), base
+            while len(out) < n:  # twice as many powers by one product
+                out = np.concatenate([out, _modulo(out * np.uint64(step))])
+                step = step * step % int(_PRIME)
+            found.append(out)
+        _powers_2, _inverses_2 = found
+    return _powers_2, _inverses_2
+
+
+def range_hash_2(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash modulo the prime of values[start:end], for values below 2**31."""
+    powers, inverses = _tables_2(len(values) + 1)
+    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_fold(values * powers[: len(values)]), dtype=np.uint64)])
+    return _modulo(_modulo(prefix[end] - prefix[start]) * inverses[start])
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads a 64-bit value over all bits; a bijection."""
     with np.errstate(over="ignore"):
@@ -70,7 +108,9 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words_of(offsets: np.ndarray, data: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """start, end (in data) and hash of each word, and for each text the number of words before it (n + 1)."""
+    """start, end (in data) and hash of each word, and for each text the number of words before it (n + 1).
+
+    A hash is made of two, over different rings: words that collide in one by their structure differ in the other."""
     value = table[data]
     inside = value != 0
     edge = np.zeros(len(data) + 1, bool)
@@ -80,7 +120,9 @@ def words_of(offsets: np.ndarray, data: np.ndarray, table: np.ndarray) -> tuple[
     ends = inside.copy()
     ends[:-1] &= ~inside[1:] | edge[1:-1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    return start, end, range_hash(prefix_hash(value), start, end), np.searchsorted(start, offsets)
+    with np.errstate(over="ignore"):
+        hashes = mix(range_hash(prefix_hash(value), start, end) + range_hash_2(value >> np.uint64(33), start, end) * _MULT)
+    return start, end, hashes, np.searchsorted(start, offsets)
 
 
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 21) -> Iterator[pa.RecordBatch]:

@@ -8,46 +8,86 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Removes a query's shuffle files when it ends. Every scratch table is written by one query that is never run again.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is set (tests)."""
+    """The cluster's shared checkpoint folder. Where none is set, a temporary one in local mode, else an error: executors
+    that write to their own disks give incomplete tables."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="quarryline-")
         spark.sparkContext.setCheckpointDir(found)
+        _at_exit(spark, found)
     return found.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+def _at_exit(spark: SparkSession, path: str) -> None:
+    fs, jpath = _file_system(spark, path)
+    fs.deleteOnExit(jpath)
+
+
+def fresh_dir(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder, removed when the application ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    fs, jpath = _file_system(spark, path)
+    fs.mkdirs(jpath)
+    fs.deleteOnExit(jpath)
+    return path
+
+
 class Scratch:
     """Intermediate tables as Parquet in the shared folder. They cut lineage and outlive lost executors.
 
-    `save` writes a frame and returns it reread; `drop` removes a table that nothing pending reads.
+    `save` writes a frame and returns it reread; `drop` removes a table that nothing pending reads; `finish` keeps the
+    result alone. What is left goes when the application ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
+        self.spark, self.root, self.n = spark, fresh_dir(spark, name), 0
 
     def save(self, df: DataFrame) -> DataFrame:
         self.n += 1
         path = f"{self.root}/{self.n}"
-        df.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(_CLEANUP, "false")
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(_CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
 
     def drop(self, *frames: DataFrame) -> None:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for df in frames:
-            path = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
-            path.getFileSystem(conf).delete(path, True)
+            fs, jpath = _file_system(self.spark, df._scratch_path)
+            fs.delete(jpath, True)
+
+    def finish(self, df: DataFrame) -> DataFrame:
+        """df written and reread; all other tables of this scratch are removed."""
+        out = self.save(df)
+        fs, _ = _file_system(self.spark, self.root)
+        for n in range(1, self.n):
+            fs.delete(_file_system(self.spark, f"{self.root}/{n}")[1], True)
+        return out
 
-    def release(self) -> None:
-        """Lets Spark's cleaner remove the shuffle files of finished steps before the next step writes its own."""
-        import gc
 
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+def free_name(name: str, *frames: DataFrame) -> str:
+    """`name`, with as many underscores after it as no column of the frames has."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch
 
 
+def merge_labels(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> bool:
+    """Joins the sets of i and j in place; label holds the smallest member of each one's set. Whether anything changed."""
+    changed = False
+    while True:
+        a, b = label[i], label[j]
+        apart = a != b
+        if not apart.any():
+            return changed
+        changed = True
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(further := label[label], label):
+            label[:] = further
+
+
 def connected_components(links: DataFrame, scratch: Scratch, most_rounds: int = 60) -> DataFrame:
     """id, component (smallest id reachable) of every id in links (a, b).
 
@@ -28,5 +44,6 @@ def connected_components(links: DataFrame, scratch: Scratch, most_rounds: int =
         labels = moved.select("id", "label")
         labels._scratch_path = moved._scratch_path
         if not moved.where("changed").limit(1).count():
+            scratch.drop(edges)
             return labels.select("id", F.col("label").alias("component"))
     raise RuntimeError(f"no end after {most_rounds} rounds")

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat_format import format_chats
-from .common import documents, shared_dir
+from .common import documents, fresh_dir
 from .decontaminate import decontaminate
 from .digest_cache import token_counts
 from .fertility import fertility_rules
@@ -53,7 +52,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a cache of its own, empty at first: every distinct text is encoded."""
-    return token_counts(documents(spark, sf_dir), f"{shared_dir(spark)}/token-cache-{uuid.uuid4().hex}")
+    return token_counts(documents(spark, sf_dir), f"{fresh_dir(spark, 'token-cache')}/counts")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -274,7 +274,6 @@ def deduplicate(docs: DataFrame, length: int = 400, gram: int = 160, most: int =
     grams = scratch.save(sampled.groupBy("gram").agg(F.count("*").alias("n"), F.min("segment").alias("s0"), F.max("segment").alias("s1")).where("n > 1").select("gram", (F.col("s0") == F.col("s1")).alias("same")))
     shared = scratch.save(sampled.join(grams, "gram"))
     scratch.drop(sampled, grams)
-    scratch.release()
 
     end = (F.col("first") + F.col("more") + length).alias("end")
     mixed = shared.where(~F.col("same"))
@@ -286,7 +285,6 @@ def deduplicate(docs: DataFrame, length: int = 400, gram: int = 160, most: int =
     wanted = open_segments.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "large", "copies", "first", "before", "more")).alias("wanted"))
     columns = "gram long, large boolean, copies long, doc_id long, first long, before int, more int, bytes binary"
     cut = scratch.save(known.join(wanted, "doc_id").dropDuplicates(["doc_id"]).mapInArrow(_cut_out(length, [c.split()[0] for c in columns.split(", ")]), columns))
-    scratch.release()
     fields = ("gram", "doc_id", "first", "before", "more", "bytes", "copies")
     sorted_out = cut.where("NOT large").select(*fields).repartition("gram").sortWithinPartitions("gram").mapInArrow(_sort_groups(length), "doc_id long, start long, end long")
     parts = [whole, scratch.save(sorted_out)]
@@ -300,5 +298,4 @@ def deduplicate(docs: DataFrame, length: int = 400, gram: int = 160, most: int =
         spans = spans.unionByName(more)
     spans = scratch.save(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
     scratch.drop(cut, shared)
-    scratch.release()
     return texts.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(_remove, "doc_id long, n_bytes long, kept binary, removed array<struct<start:long,end:long>>")

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quarryline.llm import chat_format, decontaminate, fertility, gam, jaccard, license_scan, packing, pseudonyms, suffix_dedup
+from quarryline.llm import chat_format, decontaminate, fertility, gam, license_scan, packing, pseudonyms, suffix_dedup
 from quarryline.llm.common import shared_dir
 from quarryline.llm.digest_cache import token_counts
 from quarryline.llm.vocab import load_tokenizer, vocabulary
@@ -102,39 +102,6 @@ def test_suffix_order_survives_hash_collisions(monkeypatch):
     assert [order.suffixes[i] for i in order.order] == [b"ab", b"abc", b"abd", b"b"] and order.common == [0, 2, 2, 0]
 
 
-@pytest.mark.parametrize("k,percent,block", [(3, 90, 4000), (5, 80, 2)])
-def test_jaccard_equals_brute_force(docs, empty, k, percent, block):
-    sets = []
-    for t in TEXTS:
-        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(ASCII))
-        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set()))
-    label = list(range(len(sets)))
-    for i in range(len(sets)):
-        for j in range(i):
-            common = len(sets[i] & sets[j])
-            if common and 100 * common >= percent * len(sets[i] | sets[j]):
-                a, b = label[i], label[j]
-                label = [min(a, b) if x in (a, b) else x for x in label]
-    got = by_id(jaccard.jaccard_components(docs, k, percent, block=block))
-    assert [(got[i]["n_shingles"], got[i]["component_id"]) for i in range(len(sets))] == [(len(s), x) for s, x in zip(sets, label, strict=True)]
-    assert jaccard.jaccard_components(empty).count() == 0
-
-
-def test_signature_tree_finds_all_pairs():
-    rng = np.random.default_rng(1)
-    base = rng.integers(0, 2**63, 300).astype(np.uint64)
-    sets = [np.unique(np.concatenate([base[rng.random(300) < 0.97], rng.integers(0, 2**63, 5).astype(np.uint64)])) for _ in range(40)] + [np.unique(rng.integers(0, 2**63, 300).astype(np.uint64)) for _ in range(40)]
-    n = np.array([len(s) for s in sets])
-    ids = np.arange(len(sets))
-    found = {tuple(p) for p in jaccard.tree_pairs(ids, n, [jaccard.signature(s) for s in sets], ids, np.zeros_like(ids), 90, 0).tolist()}
-    for i in range(len(sets)):
-        for j in range(i):
-            common = len(np.intersect1d(sets[i], sets[j]))
-            if 100 * common >= 90 * (n[i] + n[j] - common):
-                assert (j, i) in found
-    assert not [p for p in found if max(p) >= 40]
-
-
 def test_license_scan(spark, empty):
     texts = ["Under the MIT License, or (GNU General Public License) cc-by, CC BY-NC 4.0", None, "", "apache  LICENSE" * 2, "Permission is hereby granted, free of charge, to any one person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction", "nothing here"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -304,21 +271,6 @@ def test_decontamination_recall_against_brute_force(spark):
     assert all(want[n, 0] >= 4 for n in (2, 5, 8, 10, 24, 40, 90)) and all(want[n, 30] for n in (8, 10, 24, 40, 90))
 
 
-@pytest.mark.parametrize("block", [4000, 2])
-def test_jaccard_counts_every_link(spark, block):
-    base = [f"w{i}" for i in range(200)]
-    texts = [" ".join(base), " ".join(base)]
-    for i in range(9):  # each has its own words changed: the near ones all link with each other
-        texts.append(" ".join("x" + w if k in range(5 * i, 5 * i + 1 + i) else w for k, w in enumerate(base)))
-    texts += [" ".join(f"y{i}" for i in range(s, s + 100)) for s in (0, 4, 8)] + [" ".join(f"z{i}" for i in range(s, s + 100)) for s in (0, 2)] + [None, "alone"]
-    sets = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w := (t or "").split()) >= 3 else {tuple(w)} - {()} for t in texts]
-    distinct = [s for k, s in enumerate(sets) if s not in sets[:k]]
-    want = [sum(s != t and bool(s & t) and 10 * len(s & t) >= 9 * len(s | t) for t in distinct) for s in sets]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    got = by_id(jaccard.jaccard_components(df, 3, 90, block=block))
-    assert [got[i]["n_links"] for i in range(len(texts))] == want and max(want) > 3 and {0, 1, 2} < set(want)
-
-
 def test_operators_return_their_content(spark, docs):
     got = by_id(suffix_dedup.deduplicate(docs, length=50, gram=20))
     for i, (size, gone, runs, digest) in enumerate(_kept(TEXTS, 50)):
