@@ -12,12 +12,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quarryline.llm.common import Scratch, documents
 from quarryline.llm.decontaminate import Decontaminator, benchmark_items, fit_latent
 from quarryline.llm.gam import fit_quality, keep_good, text_features
-from quarryline.llm.jaccard import jaccard_components
+from quarryline.llm.jaccard import keep_one
 from quarryline.llm.packing import pack_documents
 from quarryline.llm.pseudonyms import pseudonymise
 from quarryline.llm.queries import PSEUDONYM_KEY
@@ -32,10 +31,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that repeat the kept id are copies too: one of them stays. Rows with a null id are not compared and stay."""
-    groups = Scratch(spark, "near-copies").save(jaccard_components(docs, k=5, percent=80, with_links=False).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct())
-    one = docs.join(groups, docs["doc_id"].cast("long") == groups["kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    return one.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    return keep_one(docs, k=5, percent=80)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
