@@ -16,12 +16,16 @@
 
 Nothing of a text leaves its task but verified matches, so no key can be hot.
 
-Nulls: null or empty texts match nothing; null items and items without words are not searched for; items with equal texts
-are each reported; repeated documents each give their rows. Empty tables give an empty result.
+The query set is searched in blocks of a bounded size, however many items it has.
+
+Nulls: null or empty texts match nothing; null items and items without words are not searched for, an item with a null id is
+reported as -1; items with equal texts are each reported; repeated documents each give their rows. Empty tables give an empty
+result. Extra columns of either table are not read.
 """
 
 from __future__ import annotations
 
+import functools
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -223,13 +227,17 @@ class ItemIndex:
         vectors = np.array([latent.vectors[terms_of(w, n_terms)].sum(0) for w in words], np.float32).reshape(len(words), latent.vectors.shape[1])
         self.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
         self.vocabulary = np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64)
-        self.has = np.zeros((len(self.vocabulary) + 1, len(words)), bool)  # the last row stands for words of no item
-        for k, w in enumerate(words):
-            self.has[np.searchsorted(self.vocabulary, w), k] = True
+        pairs = [np.searchsorted(self.vocabulary, np.unique(w)) * len(words) + k for k, w in enumerate(words)]
+        self.pairs = np.sort(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
 
     def __len__(self) -> int:
         return len(self.ids)
 
+    def has(self, words: np.ndarray, items: np.ndarray) -> np.ndarray:
+        """Whether each word (number in the vocabulary; its length stands for any other word) is in the item beside it."""
+        wanted = words * len(self.ids) + items
+        return self.pairs[np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)] == wanted
+
     def needed(self, items: np.ndarray, min_lcs: float, min_answer: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Words (numbers in the vocabulary, in order) with the item (number in items) of each, and how many of them a match
         holds at least: answer words, or any words of the item where no answer words are asked for."""
@@ -307,7 +315,7 @@ def find_by_words(hashes: np.ndarray, known: np.ndarray, before: np.ndarray, ind
                 if best.get((doc, item), (0, 0))[:2] == (1, 1):
                     break
                 last = min(high, first + 2 * n - 1)
-                found = _best_span(hashes, index.has[known[first : min(last + 2 * n, end)], item], first, last, end, index, item, min_lcs, min_answer)
+                found = _best_span(hashes, index.has(known[first : min(last + 2 * n, end)], item), first, last, end, index, item, min_lcs, min_answer)
                 if found and found[:2] > best.get((doc, item), (0, 0))[:2]:
                     best[doc, item] = (*found, min(found[2] + 2 * n, end))
     short = np.flatnonzero(index.sizes < index.min_words)
@@ -361,7 +369,7 @@ def find_leaks(texts: pa.Array, latent: Latent, index: ItemIndex, min_cosine: fl
             for step in range(width):
                 where = first + step
                 inside = where < last_of
-                common += index.has[np.where(inside, known[np.minimum(where, len(known) - 1)], len(index.vocabulary)), item]
+                common += index.has(np.where(inside, known[np.minimum(where, len(known) - 1)], len(index.vocabulary)), item)
             hopeful = common >= 0.75 * min_lcs * np.minimum(width, index.sizes[item])
             for doc, it, start, cos in zip(text[w[hopeful]].tolist(), item[hopeful].tolist(), first[hopeful].tolist(), similar[hopeful].tolist(), strict=True):
                 size = int(index.sizes[it])
@@ -383,12 +391,15 @@ def find_leaks(texts: pa.Array, latent: Latent, index: ItemIndex, min_cosine: fl
     return [(doc, it, cos, share, answer, a, b) for (doc, it), (share, cos, answer, a, b) in sorted(best.items())]
 
 
-def benchmark_items(benchmark: DataFrame, max_items: int = 100_000) -> list[tuple[int, str]]:
-    """The query set. It is held by every task, so its size is checked: more items than max_items go in several calls."""
-    rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where(F.col("text").isNotNull()).limit(max_items + 1).collect()
-    if len(rows) > max_items:
-        raise ValueError(f"more than {max_items} items: pass the benchmark in parts")
-    return sorted((r[0] if r[0] is not None else -1, r[1]) for r in rows)
+def benchmark_items(benchmark: DataFrame, block_items: int = 50_000, block_bytes: int = 1 << 26) -> Iterator[list[tuple[int, str]]]:
+    """The query set in blocks of about block_items items and block_bytes of text at most, as every task holds one whole.
+    A null id becomes -1."""
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull())
+    n, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(1, -(-n // block_items), -(-size // block_bytes))
+    for k in range(blocks):
+        some = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
+        yield sorted((r[0] if r[0] is not None else -1, r[1]) for r in some)
 
 
 @dataclass(frozen=True)
@@ -436,5 +447,15 @@ class Decontaminator:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """Verified matches of benchmark items in documents."""
-    return Decontaminator(fit_latent(docs), benchmark_items(benchmark), **options).matches(docs)
+    """Verified matches of benchmark items in documents; one pass over the documents for each block of items."""
+    latent = fit_latent(docs)
+    found = [Decontaminator(latent, items, **options).matches(docs) for items in benchmark_items(benchmark)]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The rows of docs, all columns, in which no item is found."""
+    latent = fit_latent(docs.select(F.lit(0).alias("doc_id"), F.col(text_col).alias("text")))
+    for items in benchmark_items(benchmark):
+        docs = Decontaminator(latent, items, **options).keep_clean(docs, text_col)
+    return docs

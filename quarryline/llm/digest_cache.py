@@ -58,12 +58,13 @@ def token_counts(docs: DataFrame, cache_path: str, tokenizer: str = "byte_bpe_50
         return spark.read.schema(CACHE_SCHEMA).parquet(cache_path).where(F.col("tokenizer_digest") == version)
 
     # One representative id for each digest (a null id sorts before all others); a hot digest shrinks before the shuffle.
-    distinct = keyed.groupBy("content_digest").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("rep_id"))
+    distinct = scratch.save(keyed.groupBy("content_digest").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("rep_id")))
     misses = scratch.save(distinct.join(cache(), "content_digest", "left_anti").select("rep_id", "content_digest"))
     # The text comes along by the unique pair of id and digest: no key holds more than its repeated rows.
     wanted = texts.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("rep_id"), "text").join(misses, "rep_id").where(digest == F.col("content_digest"))
     new = wanted.select("content_digest", "text").mapInArrow(_counter(tokenizer, tokenizer_dir), "content_digest binary, n_tokens long")
     new.groupBy("content_digest").agg(F.min("n_tokens").alias("n_tokens")).select("content_digest", F.lit(version).alias("tokenizer_digest"), "n_tokens").write.mode("append").option("compression", "zstd").parquet(cache_path)
     scratch.drop(misses)
-    known = cache().groupBy("content_digest").agg(F.min("n_tokens").alias("n_tokens"))
-    return keyed.join(known, "content_digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > max_tokens).alias("over_limit"))
+    # Written before it is joined: then the join's own shuffle can split a digest that very many rows share.
+    known = scratch.save(cache().join(distinct.hint("merge"), "content_digest", "left_semi").groupBy("content_digest").agg(F.min("n_tokens").alias("n_tokens")))
+    return keyed.join(known.hint("merge"), "content_digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > max_tokens).alias("over_limit"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, id_text
+from .common import Scratch, free_name, id_text
 from .fertility import SPACES, SYMBOLS, repeated_window_words
 
 FEATURES = ("log_words", "word_length", "symbols", "upper", "exclaims", "dup_lines", "distinct_words", "top_word", "punctuation", "digits", "line_words", "repeats", "capital_words", "short_words", "pipes", "byte_entropy")
@@ -191,11 +191,22 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit_quality(measured: DataFrame, labels: DataFrame, max_rows: int = 60_000, label_col: str = "quality", id_col: str = "doc_id") -> Gam:
-    """The model for labels.quality from `measured` (doc_id, f), on at most about max_rows labelled rows."""
+def learnt_from(labels: DataFrame, max_rows: int = 60_000, label_col: str = "quality", id_col: str = "doc_id") -> DataFrame:
+    """doc_id, y of the labels that are learnt from: about max_rows at most, chosen by a hash of the id."""
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     share = min(1.0, max_rows / max(1, known.count()))
-    known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    return known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, max_rows: int = 60_000, id_col: str = "doc_id") -> DataFrame:
+    """The rows of docs that are learnt from. Their ids are broadcast: max_rows bounds them, at some 16 bytes each."""
+    ids = F.broadcast(learnt_from(labels, max_rows, id_col=id_col).select("doc_id").distinct())
+    return docs.join(ids.withColumnRenamed("doc_id", name := free_name("learnt_id", docs)), F.col(id_col).cast("long") == F.col(name), "left_semi")
+
+
+def fit_quality(measured: DataFrame, labels: DataFrame, max_rows: int = 60_000, label_col: str = "quality", id_col: str = "doc_id") -> Gam:
+    """The model for labels.quality from `measured` (doc_id, f), on at most about max_rows labelled rows."""
+    known = learnt_from(labels, max_rows, label_col, id_col)
     rows = measured.join(known, "doc_id").select("f", "y", F.xxhash64("doc_id", "f").alias("at")).toPandas()
     rows = rows.sort_values("at", kind="stable")  # the fit doesn't depend on the order of arrival
     x = np.array(rows["f"].tolist(), np.float64).reshape(-1, len(FEATURES))

@@ -1,14 +1,17 @@
 """License scan by diagonal voting, in DataFrame operations only.
 
-Templates are word sequences. All rolling word k-grams of a text are joined by hash to the k-gram positions of the
-templates (a table of constants, so its broadcast has a fixed bound); a hit votes for the diagonal text position minus
-template position. Votes are summed by diagonal as a bit mask of matched template positions, neighbouring diagonals (an
-inserted or lost word shifts the rest by one) are merged, and a span is taken where enough of the template is covered.
-A phrase template counts only places where all of it stands on one diagonal, which is the phrase itself.
-
-Nulls: a null text is empty; a text without words has n_words 0 and no label. A doc_id names one text: rows that repeat
-it each give a row, with the places found in any of them. Rows with a null id are left out of the voting and get no
-label.
+Templates are word sequences of any length. All rolling word k-grams of a text are joined by hash to the k-gram positions
+of the templates, and the words themselves are compared; a hit votes for the diagonal text position minus template
+position. Votes are summed by diagonal as bit masks of matched template positions, 60 positions to a mask; neighbouring
+diagonals (an inserted or lost word shifts the rest by one) are merged into spans. A span is verified by its two covers:
+enough of the template's positions stand in it, and they make up enough of the span. A phrase template counts only places
+where all of it stands on one diagonal, which is the phrase itself.
+
+One pass over the texts: a text is read once, and its hits and one row that stands for the text itself meet again by the
+number of the row. Everything after that stays where it is, and a row number holds no more than its own text's hits.
+
+Nulls: a null text is empty; a text without words has n_words 0 and no label. Each row is a text of its own, whatever its
+id, so rows that repeat an id and rows with a null id are scanned like any other. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import id_text
 
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: Phrases that label a text wherever their words stand consecutively.
@@ -40,57 +44,77 @@ NOTICES = {
 }
 
 
+#: Bits of a mask that stand for template positions.
+_BITS = 60
+#: Gram positions of templates up to which their table is broadcast (a few hundred bytes each); a larger one is shuffled.
+_MOST_BROADCAST = 100_000
+_KIND = "template int, label string, phrase boolean, at int, grams int, template_words int, t0 string, t1 string, t2 string"
+
+
 def words_of(text: Column) -> Column:
     """The words of a text, A-Z lower-cased; none of null."""
-    low = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    text = F.coalesce(text, F.lit(""))
+    ascii_only = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    # lower() changes other letters as well, which matters only where one becomes a letter of a-z: the Kelvin sign does.
+    low = F.when(text.contains("\u212a"), ascii_only).otherwise(F.lower(text))
     return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
 
 
-def template_grams(spark: SparkSession, phrases: dict[str, str], notices: dict[str, list[str]]) -> DataFrame:
-    """One row for each k-gram position of each template: two words of a phrase, three of a notice; at most 63 a template."""
+def template_grams(spark: SparkSession, phrases: dict[str, str], notices: dict[str, list[str]]) -> tuple[DataFrame, int]:
+    """One row for each k-gram position of each template: two words of a phrase, three of a notice; and their number. A row
+    of empty words, which no text has, is met by the row that stands for a text."""
     texts = [(phrase, label, True) for phrase, label in phrases.items()] + [(text, label, False) for label, own in notices.items() for text in own]
-    rows = []
+    rows = [(None, None, None, 0, 1, 0, "", "", None)]
     for number, (text, label, phrase) in enumerate(texts):
-        words = re.findall(r"[a-z0-9]+", text)
+        words = re.findall(WORD, text.translate(_LOWER))
+        if len(words) < 2:
+            raise ValueError(f"a template needs two words: {text!r}")
         k = 2 if phrase or len(words) < 3 else 3
-        grams = min(63, len(words) - k + 1)
+        grams = len(words) - k + 1
         rows += [(number, label, phrase, i, grams, len(words), words[i], words[i + 1], words[i + 2] if k == 3 else None) for i in range(grams)]
-    return spark.createDataFrame(rows, "template int, label string, phrase boolean, at int, grams int, template_words int, t0 string, t1 string, t2 string")
+    return spark.createDataFrame(rows, _KIND), len(rows)
 
 
-def license_scan(docs: DataFrame, phrases: dict[str, str] | None = None, notices: dict[str, list[str]] | None = None, min_cover: float = 0.6, max_shift: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score and the verified spans of every row."""
+def license_scan(docs: DataFrame, phrases: dict[str, str] | None = None, notices: dict[str, list[str]] | None = None, min_cover: float = 0.6, min_density: float = 0.5, max_shift: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score and the verified spans of every row.
+
+    min_cover: least share of a notice's grams in a span; min_density: least share of these in the span's own length;
+    max_shift: diagonals so far apart belong to one span.
+    """
     spark = docs.sparkSession
-    grams = template_grams(spark, phrases or PHRASES, notices or NOTICES).withColumn("gram", F.xxhash64("t0", "t1"))
-    texts = id_text(docs, id_col, text_col).withColumn("words", words_of(F.col("text"))).select("doc_id", "words")
+    grams, n_grams = template_grams(spark, PHRASES if phrases is None else phrases, NOTICES if notices is None else notices)
+    grams = grams.withColumn("gram", F.xxhash64("t0", "t1"))
+    texts = id_text(docs, id_col, text_col).select("doc_id", F.monotonically_increasing_id().alias("row"), words_of(F.col("text")).alias("words"))
     n = F.size("words")
-    after = lambda k: F.slice("words", F.lit(k + 1), F.greatest(n - k, F.lit(0)))
-    rolled = texts.where(F.col("doc_id").isNotNull() & (n >= 2)).select("doc_id", F.posexplode(F.arrays_zip(F.col("words").alias("w0"), after(1).alias("w1"), after(2).alias("w2"))))
-    rolled = rolled.select("doc_id", "pos", "col.w0", "col.w1", "col.w2").where(F.col("w1").isNotNull()).withColumn("gram", F.xxhash64("w0", "w1"))
-    same = (F.col("w0") == F.col("t0")) & (F.col("w1") == F.col("t1")) & (F.col("t2").isNull() | F.col("t2").eqNullSafe(F.col("w2")))
-    hits = rolled.join(F.broadcast(grams), "gram").where(same)
-    kind = ["doc_id", "template", "label", "phrase", "grams", "template_words"]
-    votes = hits.groupBy(*kind, (F.col("pos") - F.col("at")).alias("diagonal")).agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("mask"))
-
-    covered = F.bit_count("mask") / F.col("grams")
-    places = votes.where(F.col("phrase") & (covered == 1)).select(*kind, F.col("diagonal").alias("low"), F.col("diagonal").alias("high"), covered.alias("cover"))
-    by = W.partitionBy("doc_id", "template").orderBy("diagonal")
-    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by) > max_shift, F.lit(True)).cast("int")
-    runs = votes.where(~F.col("phrase")).withColumn("apart", apart).withColumn("run", F.sum("apart").over(by))
-    merged = runs.groupBy(*kind, "run").agg(F.bit_or("mask").alias("mask"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high"))
-    spans = places.unionByName(merged.withColumn("cover", covered).where(F.col("cover") >= min_cover).select(*kind, "low", "high", "cover"))
-
-    base = F.col("phrase")
-    found = spans.groupBy("doc_id").agg(
-        F.sum(base.cast("long")).alias("n_base"),
-        F.min(F.when(base, F.col("low"))).cast("long").alias("first_word"),
-        F.max(F.when(base, F.col("low"))).cast("long").alias("last_word"),
+    rolled = texts.select("doc_id", "row", n.cast("long").alias("n_words"), "words", F.explode(F.sequence(F.lit(-1), F.greatest(n - 2, F.lit(-1)))).alias("pos"))
+    word = lambda k: F.when(F.col("pos") < 0, F.lit("")).otherwise(F.get("words", F.col("pos") + k))
+    same = (word(0) == F.col("t0")) & (word(1) == F.col("t1")) & (F.col("t2").isNull() | F.col("t2").eqNullSafe(word(2)))
+    hits = rolled.join(F.broadcast(grams) if n_grams <= _MOST_BROADCAST else grams, (F.xxhash64(word(0), word(1)) == F.col("gram")) & same)
+
+    # From here on all rows of a text are together: aggregates and windows by the row number shuffle nothing more.
+    text, kind = ["row", "doc_id", "n_words"], ["template", "label", "phrase", "grams", "template_words"]
+    chunk, bit = F.floor(F.col("at") / _BITS).cast("int"), (F.col("at") % _BITS).cast("int")
+    voted = hits.select(*text, *kind, (F.col("pos") - F.col("at")).alias("diagonal"), "pos", chunk.alias("chunk"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("mask")).repartition("row")
+    votes = voted.groupBy(*text, *kind, "diagonal", "chunk").agg(F.bit_or("mask").alias("mask"), F.min("pos").alias("low"), F.max("pos").alias("high"))
+    by = W.partitionBy("row", "template").orderBy("diagonal", "chunk")
+    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by) > F.when(F.col("phrase"), 0).otherwise(max_shift), F.lit(True)).cast("int")
+    runs = votes.withColumn("apart", apart).withColumn("run", F.sum("apart").over(by))
+    merged = runs.groupBy(*text, *kind, "run", "chunk").agg(F.bit_or("mask").alias("mask"), F.min("low").alias("low"), F.max("high").alias("high"), F.min("diagonal").alias("diagonal"))
+    spans = merged.groupBy(*text, *kind, "run").agg(F.sum(F.bit_count("mask")).alias("matched"), F.min("low").alias("low"), F.max("high").alias("high"), F.min("diagonal").alias("diagonal"))
+    cover = F.col("matched") / F.col("grams")
+    verified = F.when(F.col("phrase"), cover == 1).otherwise((cover >= min_cover) & (F.col("matched") >= min_density * (F.col("high") - F.col("low") + 1)))
+
+    found, base = F.col("template").isNotNull() & verified, F.col("phrase") & verified
+    k = F.col("template_words") - F.col("grams") + 1
+    one = F.struct("label", F.col("low").cast("long").alias("first_word"), (F.col("high") + k).cast("long").alias("end_word"), cover.alias("cover"))
+    out = spans.groupBy(*text).agg(
+        F.count(F.when(base, 1)).alias("n_base"),
+        F.min(F.when(base, F.col("diagonal"))).cast("long").alias("first_word"),
+        F.max(F.when(base, F.col("diagonal"))).cast("long").alias("last_word"),
         F.collect_set(F.when(base, F.col("label"))).alias("base"),
-        F.collect_set("label").alias("every"),
-        F.max("cover").alias("score"),
-        F.count(F.when(~base, 1)).alias("n_spans"),
-    )
-    listed = lambda c: F.coalesce(F.array_join(F.array_sort(c), ","), F.lit(""))
-    return texts.select("doc_id", F.size("words").cast("long").alias("n_words")).join(found, "doc_id", "left").select(
-        "doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word", listed(F.col("base")).alias("base_labels"), listed(F.col("every")).alias("labels"), F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans")
+        F.collect_set(F.when(found, F.col("label"))).alias("every"),
+        F.coalesce(F.max(F.when(found, cover)), F.lit(0.0)).alias("score"),
+        F.array_sort(F.collect_list(F.when(found & ~F.col("phrase"), one))).alias("spans"),
     )
+    listed = lambda c: F.array_join(F.array_sort(c), ",")
+    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", listed("base").alias("base_labels"), listed("every").alias("labels"), "score", F.size("spans").cast("long").alias("n_spans"), "spans")

@@ -2,9 +2,9 @@
 
 Every document is its token ids and an end id. Lengths are routed to tiers, which are powers of two up to the longest
 window. A document longer than the window is first cut into whole windows; the rest of it, like any short document,
-goes to the smallest tier that holds it. Tiers are packed from the longest down: a window of a tier takes documents of
-its own tier best-fit, and its gap is filled from shorter tiers, at last by the head of a shorter document, which is cut
-there. What is left when the input ends forms windows whose sizes are powers of two. Windows are dealt to step groups
+goes to the smallest tier that holds it. Tiers are packed from the longest down: a window takes one document of its tier,
+the longest first, and its gap is filled from shorter tiers in order of arrival, longest tier first, at last by the head of
+a shorter document, which is cut there: no padding, at the price of about one cut for each window. What is left when the input ends forms windows whose sizes are powers of two. Windows are dealt to step groups
 so that each group has the same mix of sizes.
 
 The unit of work is a buffer of at most `buffer_docs` documents or `buffer_tokens` ids of one input partition, so memory

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat_format import format_chats
-from .common import documents, fresh_dir
+from .common import Scratch, documents, fresh_dir
 from .decontaminate import decontaminate
 from .digest_cache import token_counts
 from .fertility import fertility_rules
@@ -43,11 +43,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(documents(spark, sf_dir), k=3, percent=90)
+    return jaccard_components(documents(spark, sf_dir), k=3, percent=90).select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan(documents(spark, sf_dir))
+    return license_scan(documents(spark, sf_dir)).drop("spans")
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +71,29 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir)).drop("ids")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_fertility, op2_chat_format, op3_suffix_dedup, op4_decontamination, op5_jaccard, op6_license_scan, op7_token_counts, op8_quality, op9_pseudonyms, op10_packing)}
+def fertility_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op1_fertility that SQL can express."""
+    return op1_fertility(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def license_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op6_license_scan that SQL can express."""
+    return op6_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+def token_counts_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op7_token_counts twice on one cache: whether the second count, which is the cache's, is the first one's."""
+    path = f"{fresh_dir(spark, 'token-cache')}/counts"
+    first = Scratch(spark, "first-counts").save(token_counts(documents(spark, sf_dir), path))
+    n = spark.read.parquet(path).count()
+    second = Scratch(spark, "second-counts").save(token_counts(documents(spark, sf_dir), path))
+    added = spark.read.parquet(path).count() - n
+    both = second.join(first.select("doc_id", F.col("n_tokens").alias("n_before")), "doc_id")
+    return both.select("doc_id", "n_bytes", (F.col("n_tokens") == F.col("n_before")).alias("same"), F.lit(added).cast("long").alias("n_added"))
+
+
+_OPERATORS = (op1_fertility, op2_chat_format, op3_suffix_dedup, op4_decontamination, op5_jaccard, op6_license_scan, op7_token_counts, op8_quality, op9_pseudonyms, op10_packing)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (*_OPERATORS, fertility_base, license_base, token_counts_again)}
 
 _CHATS = """(SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok')"""
@@ -84,4 +106,39 @@ ORACLES: dict[str, str] = {
   CAST(sum(17 + length(regexp_replace(role, '([\\\\<>])', '\\\\\\1', 'g')) + length(regexp_replace(text, '([\\\\<>])', '\\\\\\1', 'g'))) AS BIGINT) AS formatted_chars,
   CAST(0 AS BIGINT) AS n_rewrites, CAST(0 AS BIGINT) AS n_unlocated
 FROM {_CHATS} GROUP BY conv_id""",
+    "fertility_base": r"""WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  windows AS (SELECT doc_id, i, w[i:i + 4] AS five FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w)),
+  twice AS (SELECT doc_id, five FROM windows GROUP BY doc_id, five HAVING count(*) > 1),
+  repeated AS (SELECT doc_id, count(DISTINCT i + d) AS n FROM windows JOIN twice USING (doc_id, five), range(5) AS r(d) GROUP BY doc_id),
+  lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+  counts AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(l.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
+    FROM w LEFT JOIN lines l USING (doc_id) LEFT JOIN repeated r USING (doc_id))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts""",
+    "license_base": r"""WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+  phrases(p, label) AS (VALUES (['gnu', 'general', 'public', 'license'], 'gpl'), (['apache', 'license'], 'apache'), (['cc', 'by'], 'cc-by'), (['mit', 'license'], 'mit')),
+  found AS (SELECT doc_id, i - 1 AS place, label FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w), phrases WHERE w[i] = p[1] AND w[i:i + len(p) - 1] = p)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, count(label) AS n_base, min(place) AS first_word, max(place) AS last_word, coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS base_labels
+FROM w LEFT JOIN found USING (doc_id) GROUP BY doc_id, len(w)""",
+    "token_counts_again": "SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n_bytes, true AS same, CAST(0 AS BIGINT) AS n_added FROM documents",
+    "op3_suffix_dedup": """WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+  windows AS (SELECT doc_id, i, hash(substr(h, 2 * i + 1, 800)) AS k FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM d)),
+  twice AS (SELECT k FROM windows GROUP BY k HAVING count(*) > 1),
+  hits AS (SELECT doc_id, i, CAST(coalesce(i > 400 + lag(i) OVER (PARTITION BY doc_id ORDER BY i), true) AS INT) AS new FROM windows SEMI JOIN twice USING (k)),
+  runs AS (SELECT doc_id, min(i) AS low, max(i) + 400 AS high FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hits) GROUP BY doc_id, run),
+  gaps AS (SELECT doc_id, low, high, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS since FROM runs),
+  cut AS (SELECT doc_id, count(*) AS n_spans, CAST(sum(high - low) AS BIGINT) AS n_removed, max(high) AS last, string_agg(substr(h, 2 * since + 1, 2 * (low - since)), '' ORDER BY low) AS head FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)""",
+    "op5_jaccard": r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  sets AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s FROM w),
+  known AS (SELECT doc_id, len(s) AS n, CASE WHEN len(s) > 0 THEN min(doc_id) OVER (PARTITION BY s) ELSE doc_id END AS class_id FROM sets),
+  tokens AS (SELECT class_id AS c, n, unnest(s) AS t FROM known JOIN sets USING (doc_id) WHERE class_id = doc_id),
+  pairs AS (SELECT a.c AS a, b.c AS b FROM tokens a JOIN tokens b ON a.t = b.t AND a.c < b.c AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+  links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+  reach AS (SELECT a AS c, a AS r FROM links UNION SELECT reach.c, links.b FROM reach JOIN links ON reach.r = links.a),
+  ends AS (SELECT c, min(r) AS component FROM reach GROUP BY c),
+  counts AS (SELECT a AS c, count(*) AS n_links FROM links GROUP BY a)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, coalesce(component, class_id) AS component_id, class_id, coalesce(n_links, 0) AS n_links
+FROM known LEFT JOIN ends ON class_id = ends.c LEFT JOIN counts ON class_id = counts.c""",
 }

@@ -238,22 +238,51 @@ class ByteVocabulary(_Chunked):
         return self.cache.count(chunks)
 
 
+#: White space other than single spaces and line ends, and characters that a normaliser may turn into such.
+_ODD_SPACE = regex.compile(r"  |^ | $|[^\S \n]|[\u2581\u00a8\u00af\u00b4\u00b8\u02d8-\u02dd\u037a\u0384\u0385\u1fbd-\u1ffe\u2017\u203e\u2800\u3164\ufdfa\ufdfb\ufe49-\ufe4c\ufe70-\ufe7f\uffe3]")
+
+
 class PieceVocabulary:
-    """ids of a sentencepiece model, each white-space word on its own; knows which ids stand for single bytes."""
+    """ids of a sentencepiece model; knows which ids stand for single bytes.
+
+    No piece holds a space behind other characters, so a text whose words stand one space apart is encoded as these, line
+    ends and all, and a word that was met before costs a lookup. Other texts go to the library whole."""
 
     def __init__(self, name: str = "piece_bpe_32k.model", folder: str | None = None, limit: int = 400_000):
         self.model = load_pieces(name, folder)
         self.is_byte = np.array([self.model.is_byte(i) for i in range(self.model.vocab_size())])
-        self.cache = ChunkCache(lambda chunks: _joined(self.model.encode([c.decode("utf-8") for c in chunks], num_threads=1)), limit)
+        self.cache = ChunkCache(lambda chunks: _joined(self.model.encode(chunks, num_threads=1)), limit)
+
+    def ids(self, text: str) -> np.ndarray:
+        return self.ids_of([text])[0]
+
+    def ids_of(self, texts: list[str]) -> list[np.ndarray]:
+        plain = [not _ODD_SPACE.search(t) for t in texts]
+        out = self.cache.ids_of([t.split(" ") if t and ok else [] for t, ok in zip(texts, plain, strict=True)])
+        for k, (t, ok) in enumerate(zip(texts, plain, strict=True)):
+            if not ok:
+                out[k] = np.array(self.model.encode(t, num_threads=1), np.int32)
+        return out
+
+
+class RankVocabulary:
+    """ids of a tiktoken rank file, by the library on whole texts."""
+
+    def __init__(self, name: str = "byte_bpe_multi_50k.tiktoken", folder: str | None = None, limit: int = 0):
+        import base64
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        return self.cache.ids(words)
+        import public_tokenizers
+        import tiktoken
 
-    def ids_of(self, lists: list[list[bytes]]) -> list[np.ndarray]:
-        return self.cache.ids_of(lists)
+        with open(tokenizer_path(name, folder), "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.encoding = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def count(self, text: str) -> int:
+        return len(self.encoding.encode_ordinary(text))
 
 
 @functools.lru_cache(maxsize=8)
 def vocabulary(kind: str, name: str, folder: str | None = None, limit: int = 400_000):
     """One vocabulary object for a worker process, kept across tasks."""
-    return {"word": WordVocabulary, "byte": ByteVocabulary, "piece": PieceVocabulary}[kind](name, folder, limit)
+    return {"word": WordVocabulary, "byte": ByteVocabulary, "piece": PieceVocabulary, "rank": RankVocabulary}[kind](name, folder, limit)

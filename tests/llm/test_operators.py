@@ -60,6 +60,31 @@ def test_fertility_base_counts(docs, empty):
     assert fertility.fertility_rules(empty).count() == 0
 
 
+def test_fertility_measures_equal_the_library_and_each_rejects(spark, docs):
+    model, ranks = vocabulary("piece", "piece_bpe_32k.model").model, vocabulary("rank", "byte_bpe_multi_50k.tiktoken").encoding
+    got = by_id(fertility.fertility_rules(docs))
+    for i, t in enumerate(TEXTS):
+        ids, counts = model.encode(t or ""), collections.Counter(model.encode(t or ""))
+        entropy = -sum(c / len(ids) * np.log2(c / len(ids)) for c in counts.values())
+        share = sum(map(model.is_byte, ids)) / max(1, len(ids))
+        want = (len(ids), len(t or "") / max(1, len(ids)), len(t or "") / max(1, len(ranks.encode_ordinary(t or ""))), share, entropy)
+        assert np.allclose([got[i][c] for c in ("n_tokens", "chars_per_token", "chars_per_token_2", "byte_share", "token_entropy")], want)
+    rng = random.Random(1)
+    english = [w for w in "the of and house river stone letter number people country school water story paper city world life hand part child eye woman place work week case point company question government group problem fact with this from are by for was".split()]
+    good = " ".join(rng.choice(english) for _ in range(900))
+    noise = " ".join("".join(rng.choice("qxzjkvwbpQXZJK") for _ in range(7)) for _ in range(400))
+    unknown = " ".join(rng.choice(english) + chr(0x10A00 + rng.randrange(60)) for _ in range(300))
+    cyrillic = " ".join(rng.choice("дом река камень слово город жизнь рука часть место работа вопрос время люди страна школа вода".split()) + rng.choice(["", "а", "ы", "ом", "ами"]) for _ in range(300))
+    df = spark.createDataFrame(list(enumerate([good, noise, unknown, cyrillic, good[:40] * 60])), "doc_id long, text string")
+    wide = fertility.Band((0.0, 99.0), (0.0, 99.0), 1.0, ((60, 0.0),))
+    bands = {k: fertility.Band(b.piece, b.rank, b.byte_share, ((60, 0.0),)) for k, b in fertility.BANDS.items()}
+    alone = lambda **kw: [r["kept"] for r in sorted(fertility.fertility_rules(df, {k: fertility.Band(**{**vars(wide), **{f: getattr(bands[k], f) for f in kw}}) for k in bands}).collect())]
+    assert alone(piece=1)[:2] == [True, False] and alone(rank=1)[:2] == [True, False] and alone(byte_share=1)[:3] == [True, True, False]
+    rows = by_id(fertility.fertility_rules(df))
+    assert [rows[i]["band"] for i in (0, 3)] == ["en", "cyrillic"] and [rows[i]["kept"] for i in range(4)] == [False, False, False, True]
+    assert rows[0]["token_entropy"] < fertility.BANDS["en"].least_entropy(rows[0]["n_tokens"])  # 48 different words only
+
+
 def test_chat_round_trip_and_rewriting_template(spark):
     rows = [(1, 0, "user", "a </turn> \\ <turn x>\n"), (1, 1, "assistant", "\\### ok"), (1, 2, "assistant", None), (2, None, None, "x"), (None, 1, "user", "n"), (3, 0, "assistant", "s" * 5000)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
@@ -88,14 +113,27 @@ def _kept(texts, length):
     return out
 
 
-@pytest.mark.parametrize("most", [2, 2000])
-def test_suffix_dedup_equals_brute_force(docs, empty, most):
-    got = by_id(suffix_dedup.remove_repeats(docs, length=50, gram=20, most=most))
+@pytest.mark.parametrize("most,part", [(2, 1 << 22), (2000, 1 << 22), (5, 700)])
+def test_suffix_dedup_equals_brute_force(spark, docs, empty, most, part):
+    got = by_id(suffix_dedup.remove_repeats(docs, length=50, gram=20, most=most, part=part))
     want = _kept(TEXTS, 50)
     assert [tuple(got[i])[1:] for i in range(len(TEXTS))] == want
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("most", [3, 2000])
+def test_suffix_dedup_of_many_contexts_and_of_rows_of_one_id(spark, most):
+    """A passage in many contexts makes groups beyond `most`; rows of one id with different texts are different documents."""
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    passage, other = noise(130), noise(70)
+    texts = [noise(rng.randrange(0, 90)) + passage + noise(rng.randrange(0, 90)) for _ in range(40)] + [noise(60) + other + passage[:90] + noise(20) for _ in range(12)] + ["ab" * 300, "a" * 500, noise(400), None, ""]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(5, noise(200) + other), (5, texts[5]), (None, passage), (None, noise(100))]
+    df = spark.createDataFrame([(i, t, 0, "x") for i, t in rows], "doc_id long, text string, first int, gram string").repartition(4)
+    got = sorted((tuple(r) for r in suffix_dedup.remove_repeats(df, length=50, gram=20, most=most).collect()), key=str)
+    assert got == sorted(((i, *k) for (i, _), k in zip(rows, _kept([t for _, t in rows], 50), strict=True)), key=str)
+
+
 def test_suffix_order_survives_hash_collisions(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "mix", lambda x: np.zeros_like(x))
     order = suffix_dedup.SuffixOrder([b"abc", b"abd", b"ab", b"b"])
@@ -116,6 +154,19 @@ def test_license_scan(spark, empty):
     assert license_scan.license_scan(empty).count() == 0
 
 
+def test_license_templates_of_any_length_and_rows_of_one_id(spark):
+    full = [f"{a}{b}" for a in ("term", "grant", "notice", "copy") for b in range(50)]
+    late, early = " ".join(full[66:]), " ".join(full[:60])
+    changed = " ".join(w for k, w in enumerate(full) if k % 40 != 7)
+    scattered = " ".join(f"{' '.join(full[k : k + 3])} {'filler ' * 9}" for k in range(0, 198, 3))
+    texts = [" ".join(full), late, early, changed, scattered, "x " * 30_000 + " ".join(full), "MIT license", "mit license mit license", "a\u212a b\u212a", None]
+    rows = [(i % 8 if i < 9 else None, t, 5) for i, t in enumerate(texts)] + [(6, "mit license", 1), (None, "apache license", 2), (6, "mit license", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    got = sorted(((r["doc_id"], r["n_words"], r["n_base"], r["labels"], round(r["score"], 3), [(s["label"], s["first_word"], s["end_word"]) for s in r["spans"]]) for r in license_scan.license_scan(df, notices={"own": [" ".join(full)], "k": ["ak bk"]}).collect()), key=str)
+    own = lambda a, b: [("own", a, b)]
+    assert got == sorted([(0, 200, 0, "own", 1.0, own(0, 200)), (1, 134, 0, "own", round(132 / 198, 3), own(0, 134)), (2, 60, 0, "", 0.0, []), (3, 195, 0, "own", round((198 - 15) / 198, 3), own(0, 195)), (4, 792, 0, "", 0.0, []), (5, 30_200, 0, "own", 1.0, own(30_000, 30_200)), (6, 2, 1, "mit", 1.0, []), (7, 4, 2, "mit", 1.0, []), (0, 2, 0, "", 0.0, []), (None, 0, 0, "", 0.0, []), (6, 2, 1, "mit", 1.0, []), (None, 2, 1, "apache", 1.0, []), (6, 2, 1, "mit", 1.0, [])], key=str)
+
+
 def test_token_counts_and_cache(spark, docs, empty):
     path = f"{shared_dir(spark)}/cache-test"
     library = load_tokenizer("byte_bpe_50k.json")
@@ -128,10 +179,16 @@ def test_token_counts_and_cache(spark, docs, empty):
     assert token_counts(empty, path).count() == 0
 
 
-@pytest.mark.parametrize("kind,name", [("word", "word_bpe_49k.json"), ("byte", "byte_bpe_50k.json")])
+@pytest.mark.parametrize("kind,name", [("word", "word_bpe_49k.json"), ("byte", "byte_bpe_50k.json"), ("piece", "piece_bpe_32k.model")])
 def test_cached_vocabularies_equal_the_library(kind, name):
     odd = ["a  b", " a", "a ", "a\n\n b", "I'LL don't x’s", "é x ́y", "日本 語", "\x00 a\x1cb c", "ǅ İi 12 3½", "x <|endoftext|> <|startoftext|>", "a\r\n b"]
     v = vocabulary(kind, name, None, 50)
+    if kind == "piece":
+        rng = random.Random(2)
+        odd += ["".join(rng.choice(["a", "é", " ", "\n", "日", " x", "the ", "ß", "▁", "\t", "1"]) for _ in range(rng.randrange(20))) for _ in range(3000)]
+        for t in [*odd, *(t for t in TEXTS if t), ""]:
+            assert v.ids(t).tolist() == v.model.encode(t), t
+        return
     for t in [*odd, *(t for t in TEXTS if t)]:
         assert v.ids(t).tolist() == v.tokenizer.encode(t, add_special_tokens=False).ids
 
@@ -165,10 +222,38 @@ def test_pseudonyms(spark, empty):
         assert plain in out
     card = re.search(r"pay ([\d ]{19})", out)[1].replace(" ", "")
     assert luhn(card) and got[5]["text"].replace("-", "") == card
-    assert {k: got[1][f"n_{k}"] for k in pseudonyms.KINDS} == {"email": 1, "ssn": 1, "date": 1, "ipv4": 1, "phone": 1, "card": 1, "secret": 1}
+    assert {k: got[1][f"n_{k}"] for k in pseudonyms.KINDS} == {"email": 1, "ssn": 1, "date": 1, "ipv4": 1, "ipv6": 0, "phone": 1, "card": 1, "iban": 0, "secret": 1}
     assert by_id(pseudonyms.pseudonymise(df, "other"))[1]["text"] != out and pseudonyms.pseudonymise(empty, "k").count() == 0
 
 
+def test_pseudonyms_of_more_formats(spark, empty):
+    cases = {
+        "Password: Hunter2hunter2x": "secret", "API_KEY=abcdef0123456789": "secret", "ghp_abcdefghijklmnopqrstuvwxyz0123456789": "secret", "(309) 555-7741": "phone", "309-555-7741": "phone", "03/25/2024": "date", "25/03/2024": "date",
+        "2024-02-29T10:00:00Z": "date", "GB82 WEST 1234 5698 7654 32": "iban", "DE89370400440532013000": "iban", "2001:0db8:85a3:0000:0000:8a2e:0370:7334": "ipv6", "fe80::1ff:fe23:4567:890a": "ipv6", "4000000000002": None, "378282246310005": "card", "6011111111111117": "card",
+        "9000000000000001": None, "GB82WEST12345698765433": None, "12:30:45": None, "31/31/2024": None, "2024-02-30": None, "192.168.1.1": "ipv4", "4222222222222": "card",
+    }
+    rows = [(i, f"see {v} now", "x", 1) for i, v in enumerate(cases)] + [(99, "x " * 100_000 + "ssn 123-45-6789", "y", 2), (99, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, found string, secret int")
+    out = pseudonyms.pseudonymise(df, "own secret key")
+    got = out.collect()
+    for (value, kind), r in zip(cases.items(), got, strict=False):
+        counts = {k: r[f"n_{k}"] for k in pseudonyms.KINDS if r[f"n_{k}"]}
+        assert counts == ({kind: 1} if kind else {}), value
+        assert (r["text"] == f"see {value} now") == (kind is None) and (kind == "ipv4" or len(r["text"]) == len(value) + 8), (value, r["text"])
+    mod = lambda s: int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97
+    for i, value in enumerate(cases):
+        new = got[i]["text"][4:-4]
+        if cases[value] == "iban":
+            assert mod(new.replace(" ", "")) == 1 and [c == " " for c in new] == [c == " " for c in value]
+        again = pseudonyms.pseudonymise(df.where(df.doc_id == i).withColumn("text", F.lit(got[i]["text"])), "own secret key").collect()[0] if cases[value] in ("card", "iban") else None
+        assert again is None or again[f"n_{cases[value]}"] == 1
+    assert got[-2]["n_ssn"] == 1 and got[-1]["text"] is None
+    kept = pseudonyms.pseudonymise(df, "own secret key", keep_columns=True)
+    assert kept.columns == df.columns and [(r["found"], r["secret"]) for r in kept.collect()] == [(r[2], r[3]) for r in rows]
+    out.collect()
+    assert "own secret key" not in out._jdf.queryExecution().toString()
+
+
 def test_feistel_is_a_permutation_that_can_be_undone(spark):
     df = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d")).withColumn("e", pseudonyms.permute_digits(F.col("d"), "k", F.lit("t")))
     rows = df.withColumn("back", pseudonyms.permute_digits(F.col("e"), "k", F.lit("t"), decrypt=True)).collect()
@@ -213,11 +298,25 @@ def test_decontamination_finds_paraphrases_and_leaves_the_rest(spark, empty):
     bench = spark.createDataFrame(items, "item_id long, text string")
     found = {(r["doc_id"], r["item_id"]) for r in decontaminate.decontaminate(df, bench).collect()}
     assert found == {(100 + i, i) for i in range(5)} | {(200, 0)}
-    clean = decontaminate.Decontaminator(decontaminate.fit_latent(df), decontaminate.benchmark_items(bench)).keep_clean(df.withColumn("item_id", F.lit(1)))
+    clean = decontaminate.keep_clean(df.withColumn("item_id", F.lit(1)).withColumn("c0", F.lit("x")), bench.withColumn("doc_id", F.lit(1)))
     assert {r["doc_id"] for r in clean.collect()} == {*range(60), 300, 301}
     assert decontaminate.decontaminate(empty, bench).count() == 0 and decontaminate.decontaminate(df, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_a_large_benchmark_in_blocks(spark, monkeypatch):
+    items = spark.range(100_001).select(F.col("id").alias("item_id"), F.concat_ws(" ", *[F.concat(F.lit(chr(97 + k)), F.hex(F.xxhash64("id", F.lit(k)))) for k in range(9)]).alias("text"))
+    blocks = list(decontaminate.benchmark_items(items))
+    assert len(blocks) == 3 and sum(map(len, blocks)) == 100_001 and max(map(len, blocks)) < 40_000
+    some = [x for b in blocks for x in b[:2]]
+    rows = [(k, f"some words before {t} and behind") for k, (_, t) in enumerate(some)] + [(99, "none here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    own = decontaminate.benchmark_items
+    monkeypatch.setattr(decontaminate, "benchmark_items", lambda b: own(b, 3))
+    small = spark.createDataFrame([*some, (None, "none here")], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.decontaminate(df, small).collect()} == {(k, i) for k, (i, _) in enumerate(some)} | {(99, -1)}
+    assert [r["doc_id"] for r in decontaminate.keep_clean(df, small).collect()] == []
+
+
 def test_lcs_by_bits():
     for _ in range(50):
         a, b = ([RNG.randrange(4) for _ in range(RNG.randrange(0, 12))] for _ in range(2))
@@ -299,3 +398,36 @@ def test_chat_renders_whole_prefixes_of_any_template(spark):
     assert r["formatted"] == numbers(turns) and r["n_cut"] == r["n_rewrites"] == r["n_unlocated"] == 0
     (r,) = chat_format.format_chats(df, window=8).collect()
     assert r["formatted"] == chat_format.marked_turns(turns) and r["n_cut"] == 32
+
+
+def test_quality_on_held_out_labels(spark):
+    """On the labels that the fit never saw: ranked and told apart."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = gam.quality_scores(spark.read.parquet(f"{sf}/documents.parquet"), labels).join(labels, "doc_id").where("held_out").select("score", "predicted", "quality").collect()
+    good, bad = [r["score"] for r in rows if r["quality"] == 1], [r["score"] for r in rows if r["quality"] == 0]
+    auc = np.mean([(g > b) + 0.5 * (g == b) for g in good for b in bad])
+    assert len(rows) > 700 and auc > 0.99 and np.mean([r["predicted"] == r["quality"] for r in rows]) > 0.98
+
+
+def test_rows_of_one_id_null_ids_extra_columns_and_long_texts(spark):
+    """Each row counts as a row of its own in the operators that judge row by row."""
+    long = prose(30_000)
+    rows = [(1, BASE, "q", 1, "f"), (1, BASE, "q", 1, "f"), (1, "another text", "q", 2, "f"), (None, BASE, None, None, None), (None, None, None, None, None), (2, long, "q", 3, "f"), (3, "", "q", 4, "f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept string, score int, f string").repartition(3)
+    same = lambda got: sorted(((r["doc_id"], r[1]) for r in got), key=str)
+    sizes = lambda f: sorted(((i, f(t or "")) for i, t, *_ in rows), key=str)
+    library = load_tokenizer("byte_bpe_50k.json")
+    words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t))
+    assert same(fertility.fertility_rules(df).collect()) == sizes(words)
+    assert same(license_scan.license_scan(df).collect()) == sizes(lambda t: len(re.findall(license_scan.WORD, t.translate(ASCII))))
+    assert same(token_counts(df, f"{shared_dir(spark)}/cache-rows").select("doc_id", "n_tokens").collect()) == sizes(lambda t: len(library.encode(t, add_special_tokens=False).ids))
+    assert same(pseudonyms.pseudonymise(df, "k").select("doc_id", F.length("text")).collect()) == sorted(((i, len(t) if t is not None else None) for i, t, *_ in rows), key=str)
+    scores = gam.quality_scores(df, spark.createDataFrame([(1, 1), (2, 0), (None, 1)], "doc_id long, quality int")).collect()
+    assert sorted((r["doc_id"] for r in scores), key=str) == sorted((r[0] for r in rows), key=str) and not [r for r in scores if r["doc_id"] is None and r["held_out"]]
+    pieces = packing.pack_documents(df).collect()
+    word = load_tokenizer("word_bpe_49k.json")
+    assert sum(r["length"] for r in pieces) == sum(1 + len(word.encode(t or "", add_special_tokens=False).ids) for _, t, *_ in rows)
+    chats = spark.createDataFrame([(1, 1, "assistant", "a", "x"), (1, 1, "assistant", "a", "y"), (1, 0, "user", "b" * 200_000, "z")], "conv_id long, turn long, role string, text string, formatted string")
+    (r,) = chat_format.format_chats(chats).collect()
+    assert r["n_turns"] == 3 and r["loss_chars"] == 2
