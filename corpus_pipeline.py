@@ -14,8 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarryline.llm.common import Scratch, documents
-from quarryline.llm.decontaminate import Decontaminator, benchmark_items, fit_latent
-from quarryline.llm.gam import fit_quality, keep_good, text_features
+from quarryline.llm.decontaminate import keep_clean
+from quarryline.llm.gam import fit_quality, keep_good, labelled, text_features
 from quarryline.llm.jaccard import keep_one
 from quarryline.llm.packing import pack_documents
 from quarryline.llm.pseudonyms import pseudonymise
@@ -25,25 +25,28 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    measured = Scratch(spark, "quality").save(text_features(docs))
-    model = fit_quality(measured, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return keep_good(docs, model)
+    """Rows whose text scores under the threshold go; a null text is scored as an empty one. Repeated rows are judged alike."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return keep_good(docs, fit_quality(text_features(labelled(docs, labels)), labels))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows of one id with different texts are different documents; documents without words are no copies and stay."""
     return keep_one(docs, k=5, percent=80)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    items = benchmark_items(spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return Decontaminator(fit_latent(docs), items).keep_clean(docs)
+    """Rows that hold an item go; null and empty texts hold none and stay."""
+    return keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows stay; a null text stays null."""
     return pseudonymise(docs, PSEUDONYM_KEY, keep_columns=True)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each row is a document of its own; a null text is empty, its end id alone."""
     return pack_documents(docs)
 
 
