@@ -1,11 +1,14 @@
 """A versioned table store on plain Parquet: append, overwrite, idempotent upsert, compaction, expiry, orphan removal.
 
 A table is a folder of data files and of commits. A commit is a small JSON file, named by its number, that lists the data
-folders of each partition; the newest commit is the table. A commit file is written under a temporary name and renamed, and
-renaming onto an existing name fails, so one of two writers of the same number loses and nothing is half visible. Readers
-take the files of one commit. All paths go through Hadoop's file systems.
-
-Upserts rewrite only the partitions that hold a touched key or receive a new row; others keep their folders.
+folders of each partition; the newest commit is the table. A commit file is written under a temporary name and then given its
+own, in one step that fails where the name exists, so one of two writers of the same number loses and nothing is half visible:
+by a hard link on local disks, by a rename without overwriting elsewhere. HDFS does that in one step; object stores don't, so
+there a table may have one writer only. Readers take the files of one commit, in one scan. All paths go through Hadoop's file
+systems.
+
+Upserts rewrite only the partitions that hold a touched key or receive a new row; others keep their folders. Where the key
+fixes the partition (`pruned`), only the partitions of the updates are read; else the keys of the whole table are.
 """
 
 from __future__ import annotations
@@ -67,9 +70,23 @@ class TableStore:
         out.write(bytearray(text, "utf-8"))
         out.close()
         target, _ = self._path(name)
-        if fs.exists(target) or not fs.rename(temporary, target):
+        jvm = self.spark.sparkContext._jvm
+        try:
+            if fs.getUri().getScheme() == "file":
+                paths = jvm.java.nio.file.Paths
+                jvm.java.nio.file.Files.createLink(paths.get(target.toUri().getPath(), self._names()), paths.get(temporary.toUri().getPath(), self._names()))
+            else:
+                context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+                context.rename(temporary, target, self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0))
+        except Exception as error:
+            if fs.exists(target):
+                raise CommitConflict(name) from error
+            raise
+        finally:
             fs.delete(temporary, False)
-            raise CommitConflict(name)
+
+    def _names(self):
+        return self.spark.sparkContext._gateway.new_array(self.spark.sparkContext._jvm.java.lang.String, 0)
 
     def _delete(self, name: str) -> None:
         path, fs = self._path(name)
@@ -94,7 +111,7 @@ class TableStore:
 
     def _write(self, table: str, df: DataFrame, partition_by: str | None) -> dict[str, list[str]]:
         """Data folders of df by partition value."""
-        folder = f"data/{uuid.uuid4().hex}"
+        folder = f"data/load={uuid.uuid4().hex}"  # a partition of its own, so that all loads are one scan
         writer = df.write.option("compression", "zstd")
         if partition_by is None:
             writer.parquet(f"{self.root}/{table}/{folder}")
@@ -120,18 +137,16 @@ class TableStore:
                 frames += [f"{self.root}/{table}/{f}" for f in folders]
         if not frames:
             return self.spark.createDataFrame([], schema)
-        bases = {f.split("/data/")[0] + "/data/" + f.split("/data/")[1].split("/")[0] for f in frames}
-        parts = [self.spark.read.option("basePath", base).schema(schema).parquet(*[f for f in frames if f.startswith(base)]) for base in sorted(bases)]
-        out = parts[0]
-        for more in parts[1:]:
-            out = out.unionByName(more)
+        # The names of folders are data: `load` is found as a partition column beside the table's own and not selected.
+        out = self.spark.read.option("basePath", f"{self.root}/{table}/data").schema(schema).parquet(*frames)
         return out.select(schema.fieldNames())
 
     # writing
 
     def overwrite(self, table: str, df: DataFrame, partition_by: str | None = None) -> Commit:
-        number = (self.commits(table) or [0])[-1] + 1
-        return self._save(table, Commit(number, df.schema.json(), self._write(table, df, partition_by)))
+        """Replaces the table's rows and schema. Batches that were committed stay known, so a replay of one is skipped."""
+        now = self.commit(table) or Commit(0, "")
+        return self._save(table, Commit(now.number + 1, df.schema.json(), self._write(table, df, partition_by), now.batches))
 
     def append(self, table: str, df: DataFrame, partition_by: str | None = None, batch: tuple[str, int] | None = None) -> Commit:
         now = self.commit(table)
@@ -144,9 +159,10 @@ class TableStore:
             folders.setdefault(k, []).extend(v)
         return self._save(table, Commit(now.number + 1, now.schema, folders, now.batches | ({batch[0]: batch[1]} if batch else {})))
 
-    def upsert(self, table: str, updates: DataFrame, key: str, newest_first: tuple[str, ...], partition_by: str | None = None, batch: tuple[str, int] | None = None) -> Commit:
+    def upsert(self, table: str, updates: DataFrame, key: str, newest_first: tuple[str, ...], partition_by: str | None = None, batch: tuple[str, int] | None = None, pruned: bool = False) -> Commit:
         """Rows of updates replace rows of equal key, wherever those are, and new keys are added. A batch that was
-        committed before is skipped, so a replay changes nothing."""
+        committed before is skipped, so a replay changes nothing. pruned declares that rows of equal key have equal
+        partitions, so that no other partition need be searched for them."""
         now = self.commit(table)
         if now is None:
             now = Commit(0, updates.schema.json())
@@ -159,7 +175,7 @@ class TableStore:
                 touched = [""] if now.folders else []
             else:
                 value = F.coalesce(F.col(partition_by).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
-                held = self.read(table).join(staged.select(key), key, "left_semi") if now.folders else staged.limit(0)
+                held = self.read(table, now.number).join(staged.select(key), key, "left_semi") if now.folders and not pruned else staged.limit(0)
                 names = held.select(value.alias("v")).union(staged.select(value.alias("v"))).distinct().collect()
                 touched = [f"{partition_by}={r['v']}" for r in names]
             old = [t for t in touched if t in now.folders]
