@@ -124,14 +124,14 @@ def corrupt(df: DataFrame, kind: Column) -> DataFrame:
     return df.withColumns(
         {
             "vehicle_id": broken("null_vehicle_id", none, "vehicle_id"),
-            "speed": F.when(kind == "negative_speed", -F.abs(F.coalesce("speed", F.lit(10.0))) - 5).when(kind == "unparseable_speed", none).otherwise(F.col("speed")),
-            "fuel_level": broken("fuel_out_of_range", F.lit(142.7), "fuel_level"),
-            "latitude": broken("latitude_out_of_range", F.lit(118.4), "latitude"),
-            "longitude": broken("longitude_out_of_range", F.lit(-241.9), "longitude"),
-            "battery_level": broken("battery_out_of_range", F.lit(-12.5), "battery_level"),
+            "speed": F.when(kind == "negative_speed", -1 - F.abs(F.coalesce("speed", F.lit(0.0)))).when(kind == "unparseable_speed", none).otherwise(F.col("speed")),
+            "fuel_level": broken("fuel_out_of_range", F.lit(160.0), "fuel_level"),
+            "latitude": broken("latitude_out_of_range", F.lit(123.0), "latitude"),
+            "longitude": broken("longitude_out_of_range", F.lit(-200.5), "longitude"),
+            "battery_level": broken("battery_out_of_range", F.lit(-3.0), "battery_level"),
             "event_time": broken("missing_event_time", none, "event_time"),
-            "engine_temperature": broken("absurd_engine_temperature", F.lit(934.0), "engine_temperature"),
-            "raw_payload": broken("unparseable_speed", F.lit('{"speed": "seventy-two"}'), "raw_payload"),
+            "engine_temperature": broken("absurd_engine_temperature", F.lit(500.0), "engine_temperature"),
+            "raw_payload": broken("unparseable_speed", F.lit('{"speed": "fast"}'), "raw_payload"),
         }
     )
 

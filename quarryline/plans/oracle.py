@@ -144,7 +144,7 @@ CTES: dict[str, str] = {
     FROM (SELECT *, CASE WHEN engine_temperature > 115 THEN 'engine_critical_overheat' WHEN engine_temperature > 100 THEN 'engine_overheat' WHEN speed > 140 THEN 'severe_overspeed'
       WHEN fuel_level < 10 THEN 'low_fuel' WHEN battery_level < 20 THEN 'low_battery' END AS incident_type FROM telemetry) WHERE incident_type IS NOT NULL""",
     "target": "SELECT event_id, kafka_offset, vehicle_id, CAST(event_time AS DATE) AS event_date, round(speed, 4) AS speed FROM telemetry WHERE kafka_offset % 3 <> 0",
-    "updates": "SELECT event_id, kafka_offset, vehicle_id, CAST(event_time AS DATE) AS event_date, round(round(speed, 4) + 1000, 4) AS speed FROM telemetry WHERE kafka_offset % 2 = 0",
+    "updates": "SELECT event_id, kafka_offset, vehicle_id, CAST(event_time AS DATE) AS event_date, round(round(speed, 4) + 1000, 4) AS speed FROM telemetry WHERE kafka_offset % 2 = 0 OR kafka_offset % 3 = 0",
     "merged": "SELECT * FROM updates UNION ALL SELECT * FROM target WHERE event_id NOT IN (SELECT event_id FROM updates)",
 }
 
