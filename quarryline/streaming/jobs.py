@@ -1,6 +1,7 @@
 """The streaming jobs: bronze append, silver upserts, incidents. Sources and sinks are passed in.
 
-A Kafka source and sink are used where the connector is there; files stand in for them otherwise, with the same columns.
+A Kafka source and sink are used where servers are named, which needs Spark's Kafka connector; files stand in for them
+otherwise, with the same columns.
 """
 
 from __future__ import annotations
@@ -22,8 +23,25 @@ WATERMARK = "10 minutes"
 RECORD = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
 
 
-def kafka_records(spark: SparkSession, servers: str, topic: str, starting: str = "earliest", per_trigger: int = 200_000, fail_on_loss: bool = True) -> DataFrame:
-    reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", starting).option("maxOffsetsPerTrigger", per_trigger).option("failOnDataLoss", str(fail_on_loss).lower())
+def source_options(servers: str, topic: str, starting: str = "earliest", per_trigger: int | None = 200_000, fail_on_loss: bool = True) -> dict[str, str]:
+    out = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting, "failOnDataLoss": str(fail_on_loss).lower()}
+    return out | ({"maxOffsetsPerTrigger": str(per_trigger)} if per_trigger else {})
+
+
+def live_edge(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+    """Records from now on, for incidents: what a restart misses is history by then."""
+    return kafka_records(spark, servers, topic, "latest", None, False)
+
+
+def checkpoint(root: str, job: str) -> str:
+    """The checkpoint folder of a job under the one root."""
+    if not job.replace("_", "").isalnum():
+        raise ValueError(f"not a job's name: {job!r}")
+    return f"{root.rstrip('/')}/checkpoints/{job}"
+
+
+def kafka_records(spark: SparkSession, servers: str, topic: str, starting: str = "earliest", per_trigger: int | None = 200_000, fail_on_loss: bool = True) -> DataFrame:
+    reader = spark.readStream.format("kafka").options(**source_options(servers, topic, starting, per_trigger, fail_on_loss))
     return reader.load().select(F.col("key").cast("string"), F.col("value").cast("string"), "topic", "partition", "offset", "timestamp")
 
 
@@ -72,12 +90,15 @@ def write_silver_batch(batch: DataFrame, batch_id: int, store: TableStore, run_i
             return {"source": 0, "duplicates": 0, "rejected": 0, "output": 0}
         if counts["rejected"]:
             failed = explain_failures(marked, rules).withColumns({"quarantine_id": quarantine_key("event_id", "rule_name", "raw_payload"), "quarantined_at": clock, "run_id": F.lit(run_id)})
-            inner.upsert("quarantine", failed.select(*QUARANTINE_COLUMNS, F.col("ingestion_time").alias("seen_at")), "quarantine_id", ("seen_at",), batch=(f"quarantine-{run_id}", batch_id))
+            # The payload fixes both the key and the day, so a replay finds its rows in the day's partition.
+            dated = failed.select(*QUARANTINE_COLUMNS, F.col("ingestion_time").alias("seen_at"), F.to_date("event_time").alias("event_date"))
+            inner.upsert("quarantine", dated, "quarantine_id", ("seen_at",), "event_date", batch=(f"quarantine-{run_id}", batch_id), pruned=True)
         good = marked.where("dq_valid").drop("dq_failed", "dq_warnings", "dq_valid")
         rich = enrich(latest_by_key(good, "event_id", "ingestion_time", "kafka_offset"), inner.read("dim_vehicle"), inner.read("dim_driver"))
         columns = [c.split()[0] for c in silver_ddl().split(", ")]
         ready = rich.withColumns({"processed_at": clock, "silver_run_id": F.lit(run_id)}).select(*columns, F.to_date("event_time").alias("event_date"))
-        inner.upsert("silver", ready, "event_id", ("ingestion_time", "kafka_offset"), "event_date", batch=(f"silver-{run_id}", batch_id))
+        # A reading's key stands for its time too (the contract's deterministic ids), so its day's partition is enough.
+        inner.upsert("silver", ready, "event_id", ("ingestion_time", "kafka_offset"), "event_date", batch=(f"silver-{run_id}", batch_id), pruned=True)
         out = {"source": counts["source"], "duplicates": counts["good"] - counts["keys"], "rejected": counts["rejected"], "output": counts["keys"]}
         ledger = spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit("silver").alias("stage"), F.lit(batch_id).cast("long").alias("batch_id"), *[F.lit(out[k]).cast("long").alias(c) for k, c in (("source", "source_count"), ("duplicates", "duplicate_count"), ("rejected", "rejected_count"), ("output", "output_count"))], clock.alias("recorded_at"))
         inner.append("reconciliation", ledger.select([f.name for f in RECONCILIATION]), batch=(f"ledger-{run_id}", batch_id))
@@ -94,8 +115,15 @@ def start_silver(bronze: DataFrame, store: TableStore, checkpoint: str, run_id:
     return _trigger(writer, interval).start()
 
 
-def start_incidents(records: DataFrame, folder: str, checkpoint: str, interval: str | None = "5 seconds") -> StreamingQuery:
-    """Incident messages, keyed by vehicle: no state, no validation."""
+def start_incidents(records: DataFrame, target: str, checkpoint: str, interval: str | None = "5 seconds", kafka_servers: str | None = None) -> StreamingQuery:
+    """Incident messages, keyed by vehicle: no state, no validation. target: a topic where kafka_servers are given, else a
+    folder of JSON lines."""
     parsed = records.select(F.from_json("value", parse_schema()).alias("t")).select("t.*")
     messages = incident_messages(detect_incidents(parsed).withColumn("detected_at", F.current_timestamp()))
-    return _trigger(messages.writeStream.format("json").option("path", folder).option("checkpointLocation", checkpoint), interval).start()
+    sink, options = sink_of(target, kafka_servers)
+    return _trigger(messages.writeStream.format(sink).options(**options).option("checkpointLocation", checkpoint), interval).start()
+
+
+def sink_of(target: str, kafka_servers: str | None = None) -> tuple[str, dict[str, str]]:
+    """Format and options of the incident sink."""
+    return ("kafka", {"kafka.bootstrap.servers": kafka_servers, "topic": target}) if kafka_servers else ("json", {"path": target})

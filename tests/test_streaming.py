@@ -3,17 +3,23 @@
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
+from quarryline.plans.runner import FACTS, daily_run, source_project
+from quarryline.sources.catalog import bootstrap, seed_dimensions, views
+from quarryline.sources.simulator import SimulatedTelemetry, produce
 from quarryline.sources.store import TableStore
 from quarryline.streaming import jobs
+from quarryline.streaming.metrics import PROGRESS, ProgressLog, alerts, health, partition_lag
+from quarryline.verify import verify
 
-AS_OF = datetime(2026, 9, 9)
+AS_OF = datetime(2026, 3, 11)
 
 
 def _record(n, **change):
-    body = {"event_id": f"e{n}", "vehicle_id": "V1", "driver_id": "D1", "trip_id": "T1", "route_id": None, "event_time": f"2026-09-08T10:{n % 60:02d}:00.000Z", "latitude": 18.5, "longitude": 73.8, "speed": 62.0, "fuel_level": 71.0, "engine_temperature": 88.0, "battery_level": 95.0, "odometer_km": 1000.0 + n, "schema_version": "1.0"} | change
-    return {"key": "V1", "value": json.dumps(body), "topic": "telemetry", "partition": 0, "offset": n, "timestamp": "2026-09-08T11:00:00.000Z"}
+    body = {"event_id": f"e{n}", "vehicle_id": "V1", "driver_id": "D1", "trip_id": "T1", "route_id": None, "event_time": f"2026-03-10T10:{n % 60:02d}:00.000Z", "latitude": 48.1, "longitude": 11.5, "speed": 70.0, "fuel_level": 55.0, "engine_temperature": 80.0, "battery_level": 90.0, "odometer_km": 1000.0 + n, "schema_version": "1.0"} | change
+    return {"key": "V1", "value": json.dumps(body), "topic": "telemetry", "partition": 0, "offset": n, "timestamp": "2026-03-10T11:00:00.000Z"}
 
 
 def _write(path, records):
@@ -28,11 +34,11 @@ def _dimensions(spark, store):
 
 def test_bronze_to_silver_and_replay(spark, tmp_path):
     good = [_record(n) for n in range(20)]
-    bad = [_record(30, speed="seventy-two"), _record(31, vehicle_id=None), _record(32, fuel_level=142.7)]
+    bad = [_record(30, speed="fast"), _record(31, vehicle_id=None), _record(32, fuel_level=130.0)]
     _write(tmp_path / "in/a.json", [*good, *good[:5], *bad, _record(40, speed=None), _record(41, schema_version="9.9")])
     bronze_dir = f"{tmp_path}/bronze"
     records = jobs.file_records(spark, f"{tmp_path}/in")
-    jobs.start_bronze(jobs.to_bronze(records, "r1", datetime(2026, 9, 8, 12)), bronze_dir, f"{tmp_path}/c1", None).awaitTermination()
+    jobs.start_bronze(jobs.to_bronze(records, "r1", datetime(2026, 3, 10, 12)), bronze_dir, f"{tmp_path}/c1", None).awaitTermination()
     bronze = spark.read.parquet(bronze_dir)
     assert bronze.count() == 30 and bronze.select("event_date").distinct().count() == 1
 
@@ -59,12 +65,12 @@ def test_late_rows_keep_their_day_without_watermark(spark, tmp_path):
     schema = jobs.to_bronze(spark.createDataFrame([], jobs.RECORD), "r", AS_OF).schema
     store = TableStore(spark, f"file://{tmp_path}/store")
     _dimensions(spark, store)
-    for n, day in enumerate(("2026-09-08", "2026-09-07")):
+    for n, day in enumerate(("2026-03-10", "2026-03-09")):
         rows = spark.createDataFrame([_record(n, event_time=f"{day}T10:00:00.000Z")], "key string, value string, topic string, partition int, offset bigint, timestamp string").withColumn("timestamp", F.to_timestamp("timestamp"))
         jobs.to_bronze(rows, "r", AS_OF).write.mode("append").parquet(f"{tmp_path}/b")
         source = jobs.bronze_stream(spark, f"{tmp_path}/b", schema)
         jobs.start_silver(source, store, f"{tmp_path}/c", "s", None, batch_only=True, as_of=AS_OF).awaitTermination()
-    assert {str(r["event_date"]) for r in store.read("silver").collect()} == {"2026-09-08", "2026-09-07"}
+    assert {str(r["event_date"]) for r in store.read("silver").collect()} == {"2026-03-10", "2026-03-09"}
 
 
 def test_incidents(spark, tmp_path):
@@ -72,3 +78,82 @@ def test_incidents(spark, tmp_path):
     jobs.start_incidents(jobs.file_records(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/c", None).awaitTermination()
     found = {json.loads(r["value"])["incident_type"] for r in spark.read.json(f"{tmp_path}/out").collect()}
     assert found == {"engine_critical_overheat", "low_fuel"}
+
+
+def test_options_of_sources_and_sinks_and_checkpoints():
+    assert jobs.source_options("b:9092", "t") == {"kafka.bootstrap.servers": "b:9092", "subscribe": "t", "startingOffsets": "earliest", "failOnDataLoss": "true", "maxOffsetsPerTrigger": "200000"}
+    assert jobs.source_options("b:9092", "t", "latest", None, False) == {"kafka.bootstrap.servers": "b:9092", "subscribe": "t", "startingOffsets": "latest", "failOnDataLoss": "false"}
+    assert jobs.sink_of("alerts", "b:9092") == ("kafka", {"kafka.bootstrap.servers": "b:9092", "topic": "alerts"}) and jobs.sink_of("/x") == ("json", {"path": "/x"})
+    assert jobs.checkpoint("s3://lake/", "silver") == "s3://lake/checkpoints/silver"
+    with pytest.raises(ValueError):
+        jobs.checkpoint("r", "../x")
+
+
+def test_progress_counts_late_rows_and_feeds_panels_and_alerts(spark, tmp_path):
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        schema = jobs.to_bronze(spark.createDataFrame([], jobs.RECORD), "r", AS_OF).schema
+        for n, time in enumerate(("10:00", "12:00", "10:05")):  # the last is older than the watermark after the second
+            rows = spark.createDataFrame([_record(n, event_time=f"2026-03-10T{time}:00.000Z")], "key string, value string, topic string, partition int, offset bigint, timestamp string").withColumn("timestamp", F.to_timestamp("timestamp"))
+            jobs.to_bronze(rows, "r", AS_OF).write.mode("append").parquet(f"{tmp_path}/b")
+            source = jobs.deduplicated(jobs.bronze_stream(spark, f"{tmp_path}/b", schema))
+            source.writeStream.queryName("dedup").format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", jobs.checkpoint(f"{tmp_path}", "dedup")).trigger(availableNow=True).start().awaitTermination()
+        spark._jsparkSession.sparkContext().listenerBus().waitUntilEmpty(20_000)
+    finally:
+        spark.streams.removeListener(log)
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 2
+    found = health(log.frame(spark)).collect()
+    assert len(found) == 1 and found[0]["query"] == "dedup" and found[0]["input_rows"] == 3 and found[0]["dropped_late"] == 1 and found[0]["state_rows"] >= 0
+    assert {r["alert"] for r in alerts(log.frame(spark)).collect()} >= {"late rows dropped"}
+    t = datetime(2026, 1, 1)
+    rows = [("q", k, t.replace(minute=k), 1, 1.0, 1.0, 100 if k else 31_000, 0, 0, 600_000 * k) for k in range(3)]
+    assert {r["alert"] for r in alerts(spark.createDataFrame(rows, PROGRESS)).collect()} == {"slow batches", "high lag", "lag grows"}
+    offsets = spark.createDataFrame([(p, 1000 if p else 90_000, 0) for p in range(12)], "kafka_partition int, latest long, committed long")
+    assert [r["kafka_partition"] for r in partition_lag(offsets).where("skewed").collect()] == [0]
+
+
+def test_runner_incremental_facts_and_verification(spark, tmp_path):
+    manifest = produce(f"{tmp_path}/in", {"vehicles": 4, "ticks": 700, "hot": "V9999", "hot_factor": 3, "duplicates": 0.02, "late": 0.05, "start": "2026-03-09T23:00:00"})
+    assert manifest["clean"] == 7 * 700 and manifest["produced"] == manifest["clean"] + manifest["duplicates"] and manifest["late"] > 100 and manifest["hot"] == 2100
+    records = jobs.file_records(spark, f"{tmp_path}/in")
+    jobs.start_bronze(jobs.to_bronze(records, "r1", datetime(2026, 3, 10, 1)), f"{tmp_path}/bronze", f"{tmp_path}/c1", None).awaitTermination()
+    bronze = spark.read.parquet(f"{tmp_path}/bronze")
+    store = TableStore(spark, f"file://{tmp_path}/store")
+    names = [f"V{1000 + i}" for i in range(4)] + ["V9999"]
+    made = seed_dimensions(store, {"dim_vehicle": [(n, "van", "M", "X", "north", "o", 90.0, 60.0, 10.0, 100.0, False) for n in names], "dim_driver": [(f"D{i}", f"N{i}", "local", "B", 1.0) for i in range(40)], "dim_route": [(f"R{i:03d}", f"r{i}", 80.0, 2, 1.0, 1.0, 2.0, 2.0) for i in range(12)]})
+    assert made == {"dim_vehicle": 5, "dim_driver": 40, "dim_route": 12}
+    as_of = datetime(2026, 3, 10, 2)
+    first, second = bronze.where("event_time < '2026-03-10'"), bronze.where("event_time >= '2026-03-10'")
+    jobs.write_silver_batch(first.drop("event_date"), 0, store, "s", as_of=as_of)
+    assert [s.passed for s in daily_run(store, as_of)] == [True] * 5
+    jobs.write_silver_batch(second.drop("event_date"), 1, store, "s", as_of=as_of)
+    jobs.write_silver_batch(second.drop("event_date"), 1, store, "s", as_of=as_of)
+    assert [s.name for s in daily_run(store, as_of) if s.passed] == ["freshness", "reconciliation", "build", "test", "report"]
+    whole = source_project(store, as_of)
+    for name, (key, _, _) in FACTS.items():
+        stored, want = store.read(name), whole[name]
+        assert sorted(map(str, stored.select(sorted(want.columns)).collect())) == sorted(map(str, want.select(sorted(want.columns)).collect())), (name, key)
+    report = {line.name: line.status for line in verify(store, bronze, manifest=manifest, with_replay=True, as_of=as_of)}
+    assert report["replay changes nothing"] == report["late readings keep their day"] == report["all that was sent came in"] == "PASS" and "FAIL" not in report.values()
+    with views(store, ["silver"], "v_") as (name,):
+        assert spark.sql(f"SELECT count(*) AS n FROM {name}").first()["n"] == manifest["clean"]
+    assert not spark.catalog.tableExists("v_silver")
+    assert not daily_run(store, datetime(2026, 3, 20))[-1].passed
+
+
+def test_bootstrap_lists_tables_and_proves_a_round_trip(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS lake LOCATION '{tmp_path}/lake'")
+    assert bootstrap(spark, "lake") == bootstrap(spark, "lake") == ["bronze_telemetry", "quarantine", "reconciliation", "silver_telemetry"]
+    spark.sql("DROP DATABASE lake CASCADE")
+
+
+def test_simulator_as_a_stream_equals_the_batch(spark, tmp_path):
+    spark.dataSource.register(SimulatedTelemetry)
+    options = {"vehicles": 3, "ticks": 45, "ticks_per_batch": 10, "hot": "V9999", "hot_factor": 4}
+    spark.readStream.format("simulated_telemetry").options(**options).load().writeStream.format("parquet").option("path", f"{tmp_path}/o").option("checkpointLocation", f"{tmp_path}/c").trigger(processingTime="0 seconds").start().processAllAvailable()
+    for q in spark.streams.active:
+        q.stop()
+    want = spark.read.format("simulated_telemetry").options(**options).load()
+    got = spark.read.schema(want.schema).parquet(f"{tmp_path}/o")
+    assert got.count() == want.count() == 7 * 45 and not got.exceptAll(want).count()
