@@ -213,8 +213,7 @@ def pseudonymise(docs: DataFrame, key: str, rounds: int = 10, id_col: str = "doc
         raise ValueError("rounds must be even and at least 4")
     found, new, matches, secret = (free_name(c, docs) for c in ("found", "new", "matches", "secret"))
     # The key comes from a subquery over rows that live outside the plan, so it is no literal of any expression.
-    spark = docs.sparkSession
-    told = spark.createDataFrame(spark.sparkContext.parallelize([(key,)], 1), "k string").scalar()
+    told = docs.sparkSession.createDataFrame([(key,)], "k string").scalar()
     # A text without a digit, @ or secret label has no candidate; it is not searched further.
     likely = F.col(text_col).rlike("[0-9@]|AKIA|ghp_|(?i:passw|pwd|secret|token|api[_-]?key)")
     none = F.array().cast("array<string>")
