@@ -82,6 +82,12 @@ class Scratch:
         return out
 
 
+def deal(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows of equal columns together, in as many partitions as shuffles have: few bytes can be much work, so partitions are
+    not joined by their size."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def free_name(name: str, *frames: DataFrame) -> str:
     """`name`, with as many underscores after it as no column of the frames has."""
     taken = {c.lower() for df in frames for c in df.columns}

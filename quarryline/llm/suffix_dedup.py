@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import mix, prefix_hash, range_hash, slices, texts_of
-from .common import Scratch, id_text
+from .common import Scratch, deal, id_text
 
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64))
 _PLACE = (1 << 24) - 1
@@ -327,7 +327,7 @@ def deduplicate(docs: DataFrame, length: int = 400, gram: int = 160, most: int =
     cut_of_level, sizes_of_level = cut, sizes
     while True:
         placed = cut_of_level.join(sizes_of_level.hint("merge"), "gram")
-        to_sort = placed.where("NOT large").select(*_FIELDS).repartition("gram", "level").sortWithinPartitions("gram", "level")
+        to_sort = deal(placed.where("NOT large").select(*_FIELDS), "gram", "level").sortWithinPartitions("gram", "level")
         spans.append(scratch.save(to_sort.mapInArrow(_sort_groups(length), "doc_id long, text_key long, start long, end long")))
         if not sizes_of_level.where("large").limit(1).count():
             break
