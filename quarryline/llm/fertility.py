@@ -17,6 +17,7 @@ Very long texts are taken whole, a document at a time.
 
 from __future__ import annotations
 
+import itertools
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -117,8 +118,8 @@ def repeated_window_words(words: list[bytes], width: int = 5) -> int:
     if n <= width:
         return 0
     number: dict[bytes, int] = {}
-    ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, n)
-    base = len(number) + 1
+    ids = np.fromiter(map(number.setdefault, words, itertools.count()), np.int64, n)
+    base = n + 1
     key, span = ids, 1
     while span < width:
         step = min(span, width - span)
@@ -141,10 +142,10 @@ def repeated_window_words(words: list[bytes], width: int = 5) -> int:
     return int((np.cumsum(edge[:-1]) > 0).sum())
 
 
-def base_counts(text: bytes, words: list[bytes]) -> tuple[int, int, int, int]:
-    """word_chars, n_symbols, n_dup_lines, n_repeat_words."""
-    word_chars = len(text.decode("utf-8").translate({c: None for c in SPACES}))
-    symbols = len(text) - len(text.translate(None, SYMBOLS))
+def base_counts(text: bytes, words: list[bytes], chars: int) -> tuple[int, int, int, int]:
+    """word_chars, n_symbols, n_dup_lines, n_repeat_words; chars: code points of the text."""
+    word_chars = chars - sum(text.count(c) for c in SPACES)
+    symbols = sum(text.count(c) for c in SYMBOLS)
     lines = [x for x in text.split(b"\n") if x.strip(SPACES)]
     return word_chars, symbols, len(lines) - len(set(lines)), repeated_window_words(words)
 
@@ -173,7 +174,7 @@ def _rules(bands: dict[str, Band], piece: str, rank: str, folder: str | None):
                 for doc, text, ids in zip(some.column("doc_id").to_pylist(), texts, pieces.ids_of(texts), strict=True):
                     raw = text.encode("utf-8", "replace")
                     words = raw.split()
-                    base = base_counts(raw, words)
+                    base = base_counts(raw, words, len(text))
                     failed = len(words) < 10 or 100 * base[-1] > 20 * len(words)
                     group, n, n_rank = group_of(text, words), len(ids), ranks.count(text)
                     measures = (len(text) / max(n, 1), len(text) / max(n_rank, 1), float(pieces.is_byte[ids].mean()) if n else 0.0, token_entropy(ids))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import functools
 import itertools
 import os
+import re
 
 import numpy as np
 import regex
@@ -238,8 +239,13 @@ class ByteVocabulary(_Chunked):
         return self.cache.count(chunks)
 
 
-#: White space other than single spaces and line ends, and characters that a normaliser may turn into such.
-_ODD_SPACE = regex.compile(r"  |^ | $|[^\S \n]|[\u2581\u00a8\u00af\u00b4\u00b8\u02d8-\u02dd\u037a\u0384\u0385\u1fbd-\u1ffe\u2017\u203e\u2800\u3164\ufdfa\ufdfb\ufe49-\ufe4c\ufe70-\ufe7f\uffe3]")
+#: White space other than spaces and line ends, and characters that a normaliser may turn into such.
+_ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\u2581\u00a8\u00af\u00b4\u00b8\u02d8-\u02dd\u037a\u0384\u0385\u1fbd-\u1ffe\u2017\u203e\u2800\u3164\ufdfa\ufdfb\ufe49-\ufe4c\ufe70-\ufe7f\uffe3]")
+
+
+def evenly_spaced(text: str) -> bool:
+    """Whether words stand one space apart, with line ends as the only other white space."""
+    return "  " not in text and not text.startswith(" ") and not text.endswith(" ") and not _ODD.search(text)
 
 
 class PieceVocabulary:
@@ -251,13 +257,22 @@ class PieceVocabulary:
     def __init__(self, name: str = "piece_bpe_32k.model", folder: str | None = None, limit: int = 400_000):
         self.model = load_pieces(name, folder)
         self.is_byte = np.array([self.model.is_byte(i) for i in range(self.model.vocab_size())])
-        self.cache = ChunkCache(lambda chunks: _joined(self.model.encode(chunks, num_threads=1)), limit)
+        self.begins = np.array([self.model.id_to_piece(i).startswith("\u2581") for i in range(self.model.vocab_size())])
+        self.cache = ChunkCache(self._encode, limit)
+
+    def _encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All chunks as one text: each begins with the only piece of it that begins with a space."""
+        ids = np.array(self.model.encode(" ".join(chunks), num_threads=1), np.int32)
+        starts = np.flatnonzero(self.begins[ids])
+        if len(starts) != len(chunks) or "" in chunks:
+            return _joined(self.model.encode(chunks, num_threads=1))
+        return np.diff(np.append(starts, len(ids))), ids
 
     def ids(self, text: str) -> np.ndarray:
         return self.ids_of([text])[0]
 
     def ids_of(self, texts: list[str]) -> list[np.ndarray]:
-        plain = [not _ODD_SPACE.search(t) for t in texts]
+        plain = list(map(evenly_spaced, texts))
         out = self.cache.ids_of([t.split(" ") if t and ok else [] for t, ok in zip(texts, plain, strict=True)])
         for k, (t, ok) in enumerate(zip(texts, plain, strict=True)):
             if not ok:
@@ -266,9 +281,10 @@ class PieceVocabulary:
 
 
 class RankVocabulary:
-    """ids of a tiktoken rank file, by the library on whole texts."""
+    """Token counts of a tiktoken rank file. The pattern cuts before a single space between words, so of an evenly spaced
+    text each word is counted with the space before it, and a word that was met before costs a lookup."""
 
-    def __init__(self, name: str = "byte_bpe_multi_50k.tiktoken", folder: str | None = None, limit: int = 0):
+    def __init__(self, name: str = "byte_bpe_multi_50k.tiktoken", folder: str | None = None, limit: int = 400_000):
         import base64
 
         import public_tokenizers
@@ -277,9 +293,31 @@ class RankVocabulary:
         with open(tokenizer_path(name, folder), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.begins = np.zeros(1 + max(ranks.values()), bool)
+        self.begins[[i for token, i in ranks.items() if token.startswith(b" ")]] = True
+        self.limit, self.known = limit, {}
+
+    def _counts(self, words: list[str]) -> list[int]:
+        """Tokens of each word with a space before it. All are one text: each has one token that begins with a space."""
+        ids = np.array(self.encoding.encode_ordinary(" " + " ".join(words)), np.int64)
+        starts = np.flatnonzero(self.begins[ids])
+        if len(starts) != len(words):
+            return [len(self.encoding.encode_ordinary(f" {w}")) for w in words]
+        return np.diff(np.append(starts, len(ids))).tolist()
 
     def count(self, text: str) -> int:
-        return len(self.encoding.encode_ordinary(text))
+        if not text or " \n" in text or "\n " in text or not evenly_spaced(text):
+            return len(self.encoding.encode_ordinary(text))
+        head, *tail = text.split(" ")
+        found = list(map(self.known.get, tail))
+        if None in found:
+            new = list({w for w, n in zip(tail, found, strict=True) if n is None})
+            if len(self.known) + len(new) > self.limit:
+                self.known.clear()
+                new = list(set(tail))
+            self.known.update(zip(new, self._counts(new), strict=True))
+            found = map(self.known.__getitem__, tail)
+        return len(self.encoding.encode_ordinary(head)) + sum(found)
 
 
 @functools.lru_cache(maxsize=8)

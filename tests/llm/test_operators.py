@@ -184,10 +184,12 @@ def test_cached_vocabularies_equal_the_library(kind, name):
     odd = ["a  b", " a", "a ", "a\n\n b", "I'LL don't x’s", "é x ́y", "日本 語", "\x00 a\x1cb c", "ǅ İi 12 3½", "x <|endoftext|> <|startoftext|>", "a\r\n b"]
     v = vocabulary(kind, name, None, 50)
     if kind == "piece":
+        ranks = vocabulary("rank", "byte_bpe_multi_50k.tiktoken", None, 50)
         rng = random.Random(2)
         odd += ["".join(rng.choice(["a", "é", " ", "\n", "日", " x", "the ", "ß", "▁", "\t", "1"]) for _ in range(rng.randrange(20))) for _ in range(3000)]
         for t in [*odd, *(t for t in TEXTS if t), ""]:
             assert v.ids(t).tolist() == v.model.encode(t), t
+            assert ranks.count(t) == len(ranks.encoding.encode_ordinary(t)), t
         return
     for t in [*odd, *(t for t in TEXTS if t)]:
         assert v.ids(t).tolist() == v.tokenizer.encode(t, add_special_tokens=False).ids
