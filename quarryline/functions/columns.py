@@ -78,3 +78,11 @@ def interpolate(a: Column, b: Column, t: Column) -> Column:
     """Linear, with t held to [0, 1]."""
     held = F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))
     return a + (b - a) * held
+
+
+def unused(name: str, *frames) -> str:
+    """`name`, with as many underscores after it as no column of the frames has."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -7,13 +7,16 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarryline.functions.columns import unused
+
 
 def side_by_side(*one_row: DataFrame) -> DataFrame:
     """Frames of one row each as one row (joined by a constant, as each has a single row)."""
-    out = one_row[0].withColumn("__one", F.lit(1))
+    one = unused("one", *one_row)
+    out = one_row[0].withColumn(one, F.lit(1))
     for df in one_row[1:]:
-        out = out.join(df.withColumn("__one", F.lit(1)), "__one")
-    return out.drop("__one")
+        out = out.join(df.withColumn(one, F.lit(1)), one)
+    return out.drop(one)
 
 
 def row_conservation(bronze: DataFrame, silver: DataFrame, quarantine: DataFrame) -> DataFrame:

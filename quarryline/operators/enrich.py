@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quarryline.functions.columns import flag
+from quarryline.functions.columns import flag, unused
 
+#: The limits of flags and incidents.
 OVERHEAT_C = 100.0
 CRITICAL_OVERHEAT_C = 115.0
 SEVERE_OVERSPEED_KMH = 140.0
@@ -30,7 +31,7 @@ def enrich(readings: DataFrame, vehicles: DataFrame, drivers: DataFrame, per_veh
     speed, temperature, fuel = F.col("speed"), F.col("engine_temperature"), F.col("fuel_level")
     return joined.withColumns(
         {
-            "is_overspeed": flag(speed + F.col("max_speed_kmh"), speed > F.col("max_speed_kmh")),
+            "is_overspeed": F.when(speed.isNotNull() & F.col("max_speed_kmh").isNotNull(), speed > F.col("max_speed_kmh")),
             "is_overheating": flag(temperature, temperature > limit),
             "is_low_fuel": flag(fuel, fuel < LOW_FUEL_PCT),
         }
@@ -41,7 +42,8 @@ def latest_by_key(df: DataFrame, key: str | list[str], *newest_first: str) -> Da
     """One row for each key: the greatest by the columns named, in order."""
     keys = [key] if isinstance(key, str) else key
     order = W.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in newest_first])
-    return df.withColumn("__rank", F.row_number().over(order)).where("__rank = 1").drop("__rank")
+    rank = unused("rank", df)
+    return df.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
 
 
 def detect_incidents(readings: DataFrame) -> DataFrame:

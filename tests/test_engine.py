@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from quarryline import contract, fixture
 from quarryline.functions.columns import surrogate_key, uuid5
+from quarryline.operators.checks import side_by_side
+from quarryline.operators.enrich import latest_by_key
 from quarryline.operators.upsert import merged
 from quarryline.plans.models import Project
 from quarryline.plans.oracle import ORACLES
@@ -197,3 +199,9 @@ def test_pruned_upsert_reads_only_the_partitions_of_the_updates(spark, tmp_path)
     store.upsert("t", rows.where("id < 20 AND day = 1").withColumn("v", F.lit(1)).union(spark.createDataFrame([(1000, 1, 1)], rows.schema)), "id", ("v",), "day", pruned=True)
     after = store.commit("t").folders
     assert [p for p in after if after[p] != before[p]] == ["day=1"] and store.read("t").count() == 91 and store.read("t").where("v = 1").count() == 4
+
+
+def test_helper_columns_clash_with_no_input_column(spark):
+    df = spark.createDataFrame([(1, 5, 7), (1, 6, 8)], "k int, rank int, one int")
+    assert [tuple(r) for r in latest_by_key(df, "k", "rank").collect()] == [(1, 6, 8)]
+    assert [tuple(r) for r in side_by_side(df.agg(F.max("one").alias("one")), df.agg(F.count("*").alias("n"))).collect()] == [(8, 2)]
