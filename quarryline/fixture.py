@@ -143,15 +143,3 @@ def injected(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.col("kafka_offset")
     kind = F.when(number % 200 == 3, F.element_at(kinds, (F.floor(number / 200) % len(CORRUPTIONS) + 1).cast("int")))
     return corrupt(sound.withColumn("injection", kind), F.col("injection"))
-
-
-def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A ledger of daily batches; every tenth loses a row."""
-    day = F.dayofmonth("event_time")
-    return bronze(spark, sf_dir).groupBy(day.cast("long").alias("batch_id")).agg(
-        F.count("*").alias("source_count"),
-        (F.count("*") - F.count_distinct("event_id")).alias("duplicate_count"),
-        F.count_if(F.col("speed") < 0).alias("rejected_count"),
-        F.count_distinct("event_id").alias("keys"),
-        F.max("ingestion_time").alias("recorded_at"),
-    ).select(F.lit(RUN_ID).alias("run_id"), F.lit("silver").alias("stage"), "batch_id", "source_count", "duplicate_count", "rejected_count", (F.col("keys") - F.col("rejected_count") - (F.col("batch_id") % 10 == 0).cast("int")).alias("output_count"), "recorded_at")

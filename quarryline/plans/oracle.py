@@ -42,6 +42,8 @@ _FAILED = "list_filter([" + ", ".join(f"CASE WHEN coalesce({e}, false) THEN NULL
 
 _KINDS = "[" + ", ".join(f"'{k}'" for k in CORRUPTIONS) + "]"
 
+_RULE_OF = "CASE injection " + " ".join(f"WHEN '{k}' THEN '{r}'" for k, r in CORRUPTIONS.items()) + " END"
+
 _HOP = """CASE WHEN prev_latitude IS NULL THEN 0e0 ELSE 2 * 6371.0088e0 * asin(sqrt(power(sin(radians(latitude - prev_latitude) / 2), 2)
       + cos(radians(prev_latitude)) * cos(radians(latitude)) * power(sin(radians(longitude - prev_longitude) / 2), 2))) END"""
 
@@ -68,7 +70,7 @@ CTES: dict[str, str] = {
     "stg": """SELECT event_id, vehicle_id, driver_id, trip_id, route_id, event_time, ingestion_time, latitude, longitude, odometer_km, vehicle_type, manufacturer, model, region, fleet_owner,
       driver_name, driver_category, kafka_partition, kafka_offset, schema_version, CAST(event_time AS DATE) AS event_date, date_sub('second', event_time, ingestion_time) AS ingestion_lag_seconds,
       speed AS speed_kmh, fuel_level AS fuel_level_pct, engine_temperature AS engine_temperature_c, battery_level AS battery_level_pct,
-      coalesce(is_overspeed, false) AS is_overspeed, coalesce(is_overheating, false) AS is_overheating, coalesce(is_low_fuel, false) AS is_low_fuel FROM silver""",
+      coalesce(is_overspeed, false) AS is_overspeed, coalesce(is_overheating, false) AS is_overheating, coalesce(is_low_fuel, false) AS is_low_fuel, processed_at, 'run-1' AS silver_run_id FROM silver""",
     "hops": f"""SELECT *, {_HOP} AS hop_km FROM (SELECT *, lag(latitude) OVER w AS prev_latitude, lag(longitude) OVER w AS prev_longitude FROM stg WINDOW w AS (PARTITION BY trip_id ORDER BY event_time, event_id))""",
     "trips": f"""SELECT *, CAST(trip_started_at AS DATE) AS trip_start_date, trip_ended_at < {AS_OF} - INTERVAL 30 MINUTE AS is_complete, event_count >= 5 AS has_sufficient_events,
       CASE WHEN duration_seconds > 0 THEN odometer_distance_km / (duration_seconds / 36e2) END AS implied_avg_speed_kmh
@@ -135,10 +137,14 @@ CTES: dict[str, str] = {
       CASE WHEN accepted IS NOT NULL THEN round(rejected_event_count * 1e2 / (accepted + rejected_event_count), 4) END AS rejection_rate_pct
     FROM (SELECT CAST(quarantined_at AS DATE) AS day, rule_name, rule_severity, count(*) AS violation_count, count(DISTINCT event_id) AS rejected_event_count FROM quarantine GROUP BY ALL) q
     LEFT JOIN (SELECT event_date AS day, count(*) AS accepted FROM stg GROUP BY 1) a USING (day)""",
-    "ledger": """SELECT *, CAST(keys - rejected_count - CASE WHEN batch_id % 10 = 0 THEN 1 ELSE 0 END AS BIGINT) AS output_count FROM (SELECT day(event_time) AS batch_id, count(*) AS source_count, count(*) - count(DISTINCT event_id) AS duplicate_count,
-      count_if(speed < 0) AS rejected_count, count(DISTINCT event_id) AS keys, max(ingestion_time) AS recorded_at FROM bronze GROUP BY 1)""",
+    "ledger": """SELECT *, CAST(keys - CASE WHEN batch_id % 10 = 0 THEN 1 ELSE 0 END AS BIGINT) AS output_count FROM (SELECT day(event_time) AS batch_id, count(*) AS source_count, count_if(len(failed) > 0) AS rejected_count,
+      count(DISTINCT event_id) FILTER (len(failed) = 0) AS keys, count_if(len(failed) = 0) - count(DISTINCT event_id) FILTER (len(failed) = 0) AS duplicate_count, max(ingestion_time) AS recorded_at FROM judged GROUP BY 1)""",
     "injected": f"""SELECT * REPLACE (CASE WHEN injection = 'null_vehicle_id' THEN NULL ELSE vehicle_id END AS vehicle_id, CASE WHEN injection = 'missing_event_time' THEN NULL ELSE event_time END AS event_time,
-      CASE injection WHEN 'negative_speed' THEN -abs(least(greatest(speed, 0), 190)) - 5 WHEN 'unparseable_speed' THEN NULL ELSE least(greatest(speed, 0), 190) END AS speed)
+      CASE injection WHEN 'negative_speed' THEN -1 - least(greatest(speed, 0), 190) WHEN 'unparseable_speed' THEN NULL ELSE least(greatest(speed, 0), 190) END AS speed,
+      CASE WHEN injection = 'fuel_out_of_range' THEN 160 ELSE least(fuel_level, 99) END AS fuel_level, CASE WHEN injection = 'latitude_out_of_range' THEN 123 ELSE latitude END AS latitude,
+      CASE WHEN injection = 'longitude_out_of_range' THEN -200.5 ELSE longitude END AS longitude, CASE WHEN injection = 'battery_out_of_range' THEN -3 ELSE battery_level END AS battery_level,
+      CASE WHEN injection = 'absurd_engine_temperature' THEN 500 ELSE least(engine_temperature, 190) END AS engine_temperature,
+      CASE WHEN injection = 'unparseable_speed' THEN '{{"speed": "fast"}}' ELSE raw_payload END AS raw_payload)
     FROM (SELECT *, CASE WHEN kafka_offset % 200 = 3 THEN {_KINDS}[(kafka_offset // 200) % {len(CORRUPTIONS)} + 1] END AS injection FROM telemetry)""",
     "stream_incidents": """SELECT *, CASE WHEN incident_type = 'engine_critical_overheat' THEN 'critical' WHEN incident_type IN ('engine_overheat', 'severe_overspeed') THEN 'high' ELSE 'medium' END AS severity
     FROM (SELECT *, CASE WHEN engine_temperature > 115 THEN 'engine_critical_overheat' WHEN engine_temperature > 100 THEN 'engine_overheat' WHEN speed > 140 THEN 'severe_overspeed'
@@ -178,9 +184,12 @@ _DAY = "odometer_end_km avg_speed_kmh max_speed_kmh avg_engine_temperature_c max
 _SQL: dict[str, str] = {
     "scan_project": "SELECT event_id, vehicle_id, event_time, speed FROM telemetry WHERE speed > 100",
     "stg_telemetry": _round(_STG, "stg"),
-    "json_parse": "SELECT event_id, CASE WHEN kafka_offset % 5 = 0 THEN NULL ELSE CAST(kafka_offset AS DOUBLE) END AS speed, 1.5e0 AS odometer_km FROM telemetry",
+    "json_parse": """SELECT event_id, vehicle_id, driver_id, trip_id, route_id, event_time, round(latitude, 9) AS latitude, round(longitude, 9) AS longitude, CASE WHEN kafka_offset % 5 = 0 THEN NULL ELSE round(speed, 9) END AS speed,
+      round(fuel_level, 9) AS fuel_level, round(engine_temperature, 9) AS engine_temperature, round(battery_level, 9) AS battery_level, round(odometer_km, 9) AS odometer_km, schema_version FROM telemetry""",
     "json_extract": "SELECT event_id, json_extract_string(raw_payload, '$.k') AS k, json_extract_string(raw_payload, '$.absent') IS NULL AS no_such_field FROM telemetry",
-    "incident_json": "SELECT vehicle_id AS key, event_id, incident_type, severity, round(speed, 4) AS speed FROM stream_incidents",
+    "incident_json": """SELECT vehicle_id AS key, event_id, vehicle_id, driver_id, trip_id, date_trunc('millisecond', event_time) AS event_time, incident_type, severity, round(speed, 9) AS speed, round(engine_temperature, 9) AS engine_temperature,
+      round(fuel_level, 9) AS fuel_level, round(battery_level, 9) AS battery_level, round(latitude, 9) AS latitude, round(longitude, 9) AS longitude FROM stream_incidents""",
+    "interpolated": "SELECT event_id, round(latitude * least(greatest(fuel_level / 5e1, 0), 1), 9) AS latitude, round(longitude * least(greatest(fuel_level / 5e1, 0), 1), 9) AS longitude FROM telemetry",
     "derive_flags": "SELECT event_id, is_overspeed, is_overheating, is_low_fuel FROM enriched",
     "enrich_left_broadcast": "SELECT event_id, vehicle_type, manufacturer, model, region, fleet_owner, driver_name, driver_category FROM enriched",
     "ingestion_lag": "SELECT event_id, date_sub('second', event_time, ingestion_time) AS lag_seconds FROM telemetry",
@@ -203,7 +212,7 @@ _SQL: dict[str, str] = {
     "fact_telemetry": "SELECT event_id, vehicle_id, driver_id, trip_id, route_id, event_time, event_date, ingestion_time, ingestion_lag_seconds, " + ", ".join(f"round({c}, 9) AS {c}" for c in _STG.split()) + ", is_overspeed, is_overheating, is_low_fuel, kafka_partition, schema_version FROM stg",
     "fact_trip": _round(_TRIP + " distance_km duration_minutes distance_discrepancy_km fuel_consumed_pct fuel_consumed_l actual_l_per_100km rated_l_per_100km", "fact_trip"),
     "fact_vehicle_daily": _round(_DAY + " total_distance_km total_fuel_consumed_l utilisation_pct", "fact_daily"),
-    "fact_driver_incident": "SELECT event_date, incident_type, severity, count(*) AS n, count(DISTINCT vehicle_id) AS vehicles FROM incidents GROUP BY ALL",
+    "fact_driver_incident": _round("latitude longitude speed_kmh engine_temperature_c fuel_level_pct battery_level_pct", "incidents"),
     "fleet_daily_summary": "SELECT * FROM fleet",
     "driver_performance": "SELECT * FROM driver_report",
     "vehicle_performance": "SELECT * FROM vehicle_report",
@@ -224,10 +233,12 @@ _SQL: dict[str, str] = {
     "dq_annotate": f"SELECT event_id, array_to_string(f, ',') AS failed, CASE WHEN schema_version = '1.0' THEN '' ELSE 'schema_version_known' END AS warnings, len(f) = 0 AS valid FROM (SELECT *, {_FAILED} AS f FROM telemetry)",
     "dq_split_valid": f"SELECT event_id, vehicle_id, trip_id FROM (SELECT *, {_FAILED} AS f FROM telemetry) WHERE len(f) = 0",
     "dq_split_quarantine": f"SELECT event_id, unnest(f) AS rule_name, 'critical' AS rule_severity FROM (SELECT *, {_FAILED} AS f FROM telemetry)",
-    "corruption_counts": "SELECT injection, count(*) AS records, count(*) AS caught FROM injected WHERE injection IS NOT NULL GROUP BY 1",
+    "corruption_counts": f"SELECT injection, count(*) AS records, count_if(list_contains(f, rule)) AS caught FROM (SELECT *, {_FAILED} AS f, {_RULE_OF} AS rule FROM injected WHERE injection IS NOT NULL) GROUP BY 1",
     "injection_ledger": "SELECT count(*) + count_if(kafka_offset % 50 = 0) AS total_produced, count_if(injection IS NULL) AS clean, count_if(kafka_offset % 50 = 0) AS duplicates, count(injection) AS invalid FROM injected",
     "upsert_merge": "SELECT event_id, vehicle_id, event_date, speed FROM merged",
     "replay_idempotent": "SELECT count(*) AS rows_before, count(*) AS rows_after, count(DISTINCT event_id) AS keys_after FROM merged",
+    "replay_sample": """SELECT (SELECT count(*) FROM silver) AS rows_before, (SELECT count(*) FROM bronze WHERE event_id IN (SELECT event_id FROM silver ORDER BY 1 LIMIT 500)) AS replayed,
+      (SELECT count(*) FROM silver) AS rows_after, (SELECT count(*) FROM silver) AS keys_after""",
     "incremental_window": "SELECT event_date, count(*) AS n FROM stg WHERE event_time >= TIMESTAMP '2024-01-29' GROUP BY 1",
     "incremental_upsert": """SELECT trip_id, CASE WHEN trip_id IN (SELECT trip_id FROM stg WHERE event_time >= TIMESTAMP '2024-01-29') THEN event_count ELSE -1 END AS event_count, round(max_speed_kmh, 4) AS max_speed_kmh FROM trips""",
     "row_conservation": """SELECT *, records - stored - rejected AS missing FROM (SELECT (SELECT count(DISTINCT event_id) FROM bronze) AS records, (SELECT count(*) FROM silver) AS stored, (SELECT count(DISTINCT event_id) FROM quarantine) AS rejected)""",
@@ -242,7 +253,8 @@ _SQL: dict[str, str] = {
       UNION ALL SELECT 'fact_vehicle_daily', (SELECT count(*) FROM (SELECT vehicle_day_key FROM fact_daily GROUP BY 1 HAVING count(*) > 1))
       UNION ALL SELECT 'lineitem', (SELECT count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1))""",
     "ref_integrity": """SELECT 'driver_id' AS key, driver_id AS value, count(*) AS readings FROM telemetry WHERE driver_id NOT IN (SELECT driver_id FROM drivers) GROUP BY 2
-      UNION ALL SELECT 'vehicle_id', vehicle_id, count(*) FROM telemetry WHERE vehicle_id NOT IN (SELECT vehicle_id FROM vehicles) GROUP BY 2""",
+      UNION ALL SELECT 'vehicle_id', vehicle_id, count(*) FROM telemetry WHERE vehicle_id NOT IN (SELECT vehicle_id FROM vehicles) GROUP BY 2
+      UNION ALL SELECT 'event_id', rule_name, count(*) FROM quarantine WHERE event_id NOT IN (SELECT event_id FROM silver) GROUP BY 2""",
     "accepted_range": "SELECT event_id, round(fuel_level, 4) AS fuel_level FROM telemetry WHERE fuel_level NOT BETWEEN 0 AND 100",
     "accepted_values": "SELECT severity, count(*) AS n FROM incidents WHERE severity NOT IN ('critical', 'high') GROUP BY 1",
     "not_null": "SELECT count_if(vehicle_id IS NULL) AS vehicle_id, count_if(event_time IS NULL) AS event_time, count_if(speed IS NULL) AS speed FROM injected",

@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarryline import fixture
-from quarryline.functions.columns import quarantine_key, seconds_between, surrogate_key, trailing_window
+from quarryline.contract import TELEMETRY, parse_schema
+from quarryline.functions.columns import interpolate, quarantine_key, seconds_between, surrogate_key, trailing_window
 from quarryline.operators import checks
-from quarryline.operators.enrich import detect_incidents, enrich, incident_messages, latest_by_key
+from quarryline.operators.enrich import INCIDENT_FIELDS, detect_incidents, enrich, incident_messages, latest_by_key
 from quarryline.plans.models import Project
 from quarryline.rules import annotate, split
+from quarryline.verify import SAMPLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -41,15 +43,18 @@ def scan_project(p: Project) -> DataFrame:
 
 @query
 def stg_telemetry(p: Project) -> DataFrame:
-    return _rounded(p["stg_telemetry"].drop("processed_at", "silver_run_id"))
+    return _rounded(p["stg_telemetry"])
 
 
 @query
 def json_parse(p: Project) -> DataFrame:
-    """A field that can't be parsed is null, its siblings stay."""
-    record = F.concat(F.lit('{"event_id": "'), "event_id", F.lit('", "speed": '), F.when(F.col("kafka_offset") % 5 == 0, F.lit('"fast"')).otherwise(F.col("kafka_offset").cast("string")), F.lit(', "odometer_km": 1.5}'))
-    parsed = p["telemetry"].select(F.from_json(record, "event_id string, speed double, odometer_km double").alias("parsed"))
-    return parsed.select("parsed.*")
+    """Whole records, written as JSON and parsed by the contract. A field that can't be parsed is null, its siblings stay."""
+    speed = F.when(F.col("kafka_offset") % 5 == 0, "fast").otherwise(F.col("speed").cast("string"))
+    sent = {"speed": speed, "event_time": F.col("event_time").cast("string")}
+    record = F.to_json(F.struct(*[sent.get(f.name, F.col(f.name)).alias(f.name) for f in TELEMETRY]))
+    # The speed is a string in the record: a number only without its quotes.
+    record = F.regexp_replace(record, '"speed":"([-0-9.E]+)"', '"speed":$1')
+    return _rounded(p["telemetry"].select(F.from_json(record, parse_schema()).alias("parsed")).select("parsed.*"))
 
 
 @query
@@ -60,9 +65,11 @@ def json_extract(p: Project) -> DataFrame:
 @query
 def incident_json(p: Project) -> DataFrame:
     """Messages read back, as their text differs between engines in spacing."""
-    messages = incident_messages(detect_incidents(p["telemetry"]))
-    fields = "event_id string, incident_type string, severity string, speed double"
-    return messages.select("key", F.from_json("value", fields).alias("v")).select("key", "v.event_id", "v.incident_type", "v.severity", F.round("v.speed", 4).alias("speed"))
+    incidents = detect_incidents(p["telemetry"])
+    fields = ", ".join(f"{c} {incidents.schema[c].dataType.simpleString()}" for c in INCIDENT_FIELDS)
+    parsed = incident_messages(incidents).select("key", F.from_json("value", fields).alias("v")).select("key", "v.*")
+    # The message's times are in milliseconds.
+    return _rounded(parsed.withColumn("event_time", F.date_trunc("millisecond", "event_time")))
 
 
 @query
@@ -108,6 +115,13 @@ def dim_date(p: Project) -> DataFrame:
     return p["dim_date"]
 
 
+@query
+def interpolated(p: Project) -> DataFrame:
+    """Places between the equator's zero point and the reading's, at a share that its tank tells, held to [0, 1]."""
+    share = F.col("fuel_level") / F.lit(50.0)
+    return p["telemetry"].select("event_id", F.round(interpolate(F.lit(0.0), F.col("latitude"), share), 9).alias("latitude"), F.round(interpolate(F.lit(0.0), F.col("longitude"), share), 9).alias("longitude"))
+
+
 @query
 def incident_detect_stream(p: Project) -> DataFrame:
     return detect_incidents(p["telemetry"]).select("event_id", "vehicle_id", "incident_type", "severity")
@@ -168,7 +182,7 @@ def fact_vehicle_daily(p: Project) -> DataFrame:
 
 @query
 def fact_driver_incident(p: Project) -> DataFrame:
-    return p["fact_driver_incident"].groupBy("event_date", "incident_type", "severity").agg(F.count("*").alias("n"), F.count_distinct("vehicle_id").alias("vehicles"))
+    return _rounded(p["fact_driver_incident"])
 
 
 @query
@@ -335,6 +349,18 @@ def replay_idempotent(p: Project) -> DataFrame:
     return checks.side_by_side(once.agg(F.count("*").alias("rows_before")), twice.agg(F.count("*").alias("rows_after"), F.count_distinct("event_id").alias("keys_after")))
 
 
+@query
+def replay_sample(p: Project) -> DataFrame:
+    """The 500 readings of the smallest keys, found again by an IN-list and merged into the table once more."""
+    from quarryline.operators.upsert import merged
+
+    stored = p["silver"].select("event_id", "kafka_offset", "vehicle_id", "ingestion_time")
+    ids = [r["event_id"] for r in stored.select("event_id").orderBy("event_id").limit(SAMPLE).collect()]
+    again = p["bronze"].where(F.col("event_id").isin(ids))
+    after = merged(stored, again, "event_id", "ingestion_time", "kafka_offset")
+    return checks.side_by_side(stored.agg(F.count("*").alias("rows_before")), again.agg(F.count("*").alias("replayed")), after.agg(F.count("*").alias("rows_after"), F.count_distinct("event_id").alias("keys_after")))
+
+
 @query
 def incremental_window(p: Project) -> DataFrame:
     return p["stg_telemetry"].where(trailing_window("event_time", p.as_of, 2)).groupBy("event_date").agg(F.count("*").alias("n"))
@@ -394,9 +420,10 @@ def grain_unique(p: Project) -> DataFrame:
 
 @query
 def ref_integrity(p: Project) -> DataFrame:
-    """Readings whose vehicle or driver has no dimension row."""
+    """Readings whose vehicle or driver has no dimension row, and rejected records that have no stored one, by rule."""
     parts = [checks.orphans(p["telemetry"], p[parent], key).groupBy(F.lit(key).alias("key"), F.col(key).alias("value")).agg(F.count("*").alias("readings")) for parent, key in (("drivers", "driver_id"), ("vehicles", "vehicle_id"))]
-    return parts[0].union(parts[1])
+    rejected = checks.orphans(p["quarantine"], p["silver"], "event_id").groupBy(F.lit("event_id").alias("key"), F.col("rule_name").alias("value")).agg(F.count("*").alias("readings"))
+    return parts[0].union(parts[1]).union(rejected)
 
 
 @query

@@ -71,10 +71,14 @@ def _broken(rules: tuple[Rule, ...], as_of: datetime | None) -> Column:
 
 
 def annotate(df: DataFrame, rules: Rules | None = None, as_of: datetime | None = None) -> DataFrame:
-    """df with the failed critical rules, the warnings, and whether no critical rule failed."""
+    """df with the failed critical rules, the warnings, and whether no critical rule failed.
+
+    The rules are the output of a generator of one row, so they are evaluated once: a plain projection is inlined into
+    every filter and join above it, and the optimiser's constraints multiply it again.
+    """
     rules = rules or load_rules()
-    marked = df.withColumns({FAILED: _broken(rules.of("critical"), as_of), WARNED: _broken(rules.of("warning"), as_of)})
-    return marked.withColumn(VALID, F.size(FAILED) == 0)
+    judged = F.struct(_broken(rules.of("critical"), as_of).alias(FAILED), _broken(rules.of("warning"), as_of).alias(WARNED))
+    return df.select("*", F.inline_outer(F.array(judged))).withColumn(VALID, F.size(FAILED) == 0)
 
 
 def explain_failures(annotated: DataFrame, rules: Rules | None = None) -> DataFrame:

@@ -51,7 +51,7 @@ def _rows(frame):
     return sorted(tuple(plain(v) for v in r) for r in frame[columns].astype(object).itertuples(index=False))
 
 
-@pytest.mark.parametrize("name", ["stg_telemetry", "json_parse", "derive_flags", "trip_metrics", "fleet_daily_summary", "route_performance", "vehicle_performance", "data_quality_summary", "dq_split_quarantine", "corruption_counts", "upsert_merge", "incremental_upsert", "row_conservation", "dim_date"])
+@pytest.mark.parametrize("name", ["stg_telemetry", "json_parse", "incident_json", "interpolated", "replay_sample", "ref_integrity", "reconciliation_balance", "fact_driver_incident", "derive_flags", "trip_metrics", "fleet_daily_summary", "route_performance", "vehicle_performance", "data_quality_summary", "dq_split_quarantine", "corruption_counts", "upsert_merge", "incremental_upsert", "row_conservation", "dim_date"])
 def test_queries_equal_sql(spark, duck, name):
     assert _rows(QUERIES[name](spark, SF).toPandas()) == _rows(duck.sql(ORACLES[name]).df())
 
