@@ -125,8 +125,8 @@ def words_of(offsets: np.ndarray, data: np.ndarray, table: np.ndarray) -> tuple[
     return start, end, hashes, np.searchsorted(start, offsets)
 
 
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 21) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of about most_bytes of text (one row at least), so that arrays over bytes stay small."""
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about most_bytes of text (one row at least): arrays over bytes take some 60 times as much."""
     offsets, _ = texts_of(batch.column(column))
     at = 0
     while at < batch.num_rows:

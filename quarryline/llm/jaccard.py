@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import chain, count
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -302,13 +302,15 @@ def _windows(ids: np.ndarray, k: int) -> np.ndarray:
 def word_sets(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Set and token number of each distinct k-word shingle of each text, and the sizes of the sets: exact, as words are
     told apart by their bytes. A text of fewer than k words equals no other class and gets no shingle."""
-    words = [t.lower().split() for t in texts]
-    size = np.array([len(w) for w in words])
-    total = int(size.sum())
+    number: dict[bytes, int] = {}
+    found, total = [], 0
+    for t in texts:  # only one text's words are objects at a time
+        words = t.lower().split()
+        found.append(np.fromiter(map(number.setdefault, words, count(total)), np.int64, len(words)))
+        total += len(words)
     if total < k:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
-    number: dict[bytes, int] = {}
-    ids = np.fromiter(map(number.setdefault, chain.from_iterable(words), count()), np.int64, total)
+    size, ids = np.array([len(x) for x in found]), np.concatenate(found)
     rank = np.zeros(total, np.int64)
     rank[np.fromiter(number.values(), np.int64, len(number))] = np.arange(len(number))
     token = _windows(rank[ids], k)
@@ -344,7 +346,8 @@ def overlaps(owner: np.ndarray, token: np.ndarray, m: int, columns: int = 2048)
             a, b = np.searchsorted(token, [low, low + columns])
             part = np.zeros((m, min(columns, int(token[b - 1]) + 1 - low)), np.float32)
             part[owner[a:b], token[a:b] - low] = 1
-            common += part @ part.T
+            for at in range(0, m, 512):
+                common[at : at + 512] += part[at : at + 512] @ part.T
     return common
 
 
@@ -384,7 +387,7 @@ def _verify(k: int, percent: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, slack: int = 5, block: int = 16_384, block_words: int = 2_000_000, block_sets: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, slack: int = 5, block: int = 16_384, block_words: int = 2_000_000, block_sets: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, class_id (smallest id with an equal set), n_links (all links of its class to other
     classes), text_key (a hash of the text) and is_first of every row.
 
