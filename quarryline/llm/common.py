@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,6 +85,19 @@ class Scratch:
         return out
 
 
+def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, after which its worker returns free memory to the system: workers serve one stage after another, and what the
+    allocators keep of one would stand beside the next one's."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc has it
+            trim(0)
+
+    return wrapped
+
+
 def deal(df: DataFrame, *columns: str) -> DataFrame:
     """Rows of equal columns together, in as many partitions as shuffles have: few bytes can be much work, so partitions are
     not joined by their size."""

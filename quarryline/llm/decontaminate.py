@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import LETTERS, prefix_hash, range_hash, slices, texts_of, words_of
-from .common import id_text
+from .common import giving_back, id_text
 
 SCHEMA = "doc_id long, item_id long, cosine double, lcs_share double, answer_share double, first_word long, last_word long"
 _COLUMNS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs_share", pa.float64()), ("answer_share", pa.float64()), ("first_word", pa.int64()), ("last_word", pa.int64())])
@@ -171,7 +171,7 @@ def fit_latent(docs: DataFrame, n_terms: int = 8192, rank: int = 32, extra: int
     """The latent space of all documents' passages."""
     columns = rank + extra
     schema = "part int, sums binary, passages long"
-    partial = id_text(docs).mapInArrow(_gather(n_terms, columns, passage, seed, parts), schema)
+    partial = id_text(docs).mapInArrow(giving_back(_gather(n_terms, columns, passage, seed, parts)), schema)
     rows = sorted(partial.repartition(parts, "part").mapInArrow(_add_up, schema).collect())
     if not rows:
         return Latent(np.zeros((n_terms, rank), np.float32), np.ones(n_terms, np.float32), np.zeros(rank))
@@ -428,7 +428,7 @@ class Decontaminator:
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _COLUMNS.types, strict=True)], schema=_COLUMNS)
 
-        return id_text(docs, id_col, text_col).mapInArrow(run, SCHEMA)
+        return id_text(docs, id_col, text_col).mapInArrow(giving_back(run), SCHEMA)
 
     def keep_clean(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
         """The rows of docs, all columns, in which no item is found."""
@@ -443,7 +443,7 @@ class Decontaminator:
                         found = {d for d, *_ in search(piece.column(where))}
                         yield piece.filter(pa.array([k not in found for k in range(piece.num_rows)])).rename_columns(names)
 
-        return docs.mapInArrow(run, docs.schema)
+        return docs.mapInArrow(giving_back(run), docs.schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, free_name, id_text
+from .common import Scratch, free_name, giving_back, id_text
 from .fertility import SPACES, SYMBOLS, repeated_window_words
 
 FEATURES = ("log_words", "word_length", "symbols", "upper", "exclaims", "dup_lines", "distinct_words", "top_word", "punctuation", "digits", "line_words", "repeats", "capital_words", "short_words", "pipes", "byte_entropy")
@@ -68,7 +68,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def text_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return id_text(docs, id_col, text_col).mapInArrow(_extract, "doc_id long, f array<float>")
+    return id_text(docs, id_col, text_col).mapInArrow(giving_back(_extract), "doc_id long, f array<float>")
 
 
 @dataclass
@@ -237,4 +237,4 @@ def keep_good(docs: DataFrame, model: Gam, threshold: float = 0.3, text_col: str
                 x = np.array([features(t) for t in b.column(where).to_pylist()], np.float32).astype(np.float64)
                 yield b.filter(pa.array(model.score(x) >= threshold))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(giving_back(keep), docs.schema)

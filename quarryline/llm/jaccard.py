@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import SPACED, prefix_hash, range_hash, slices, texts_of, words_of
-from .common import Scratch, free_name
+from .common import Scratch, free_name, giving_back
 from .components import connected_components, merge_labels
 
 SMALL_BITS, LARGE_BITS = 1024, 8192
@@ -395,7 +395,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, slack: in
     """
     scratch = Scratch(docs.sparkSession, "jaccard")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("text_key", F.xxhash64("text"))
-    sketches = scratch.save(texts.mapInArrow(_sketch(k, percent, slack), "doc_id long, text_key long, n long, digest binary, prefix array<long>, sig binary"))
+    sketches = scratch.save(texts.mapInArrow(giving_back(_sketch(k, percent, slack)), "doc_id long, text_key long, n long, digest binary, prefix array<long>, sig binary"))
     rows = scratch.save(sketches.select("doc_id", "text_key", "n", "digest"))
     # Of equal sets any row's size, prefix and signature will do: they are equal too.
     classes = sketches.where("n > 0").groupBy("digest").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_key"))).alias("known"), F.min("text_key").alias("any_key"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sig").alias("sig"))
@@ -415,7 +415,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, slack: in
     members = scratch.save(keys.join(buckets.hint("merge"), "key").select("key", "cid", "blocks"))
     scratch.drop(buckets)
     dealt = members.join(hopeful.select("cid", "n", "sig").hint("merge"), "cid").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    edges = scratch.save(_pairs_of_blocks(dealt, "key").select("key", "i", "j", "cid", "n", "sig", "own").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_bucket_edges(percent), "a long, b long").distinct())
+    edges = scratch.save(_pairs_of_blocks(dealt, "key").select("key", "i", "j", "cid", "n", "sig", "own").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(giving_back(_bucket_edges(percent)), "a long, b long").distinct())
     scratch.drop(members, hopeful)
     groups = connected_components(edges, scratch).withColumnRenamed("id", "cid")
     scratch.drop(edges)
@@ -426,7 +426,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, slack: in
     scratch.drop(of, size)
     # By shuffle at every size: the ids grow with the input, so a broadcast would only serve small ones.
     found = texts.join(wanted.hint("merge"), (F.col("text_key") == F.col("rep_key")) & F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("component", "blocks", "own", "cid", F.col("text").cast("binary").alias("text"))
-    verified = scratch.save(_pairs_of_blocks(found, "component").repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "cid").mapInArrow(_verify(k, percent), "cid long, links long, other long"))
+    verified = scratch.save(_pairs_of_blocks(found, "component").repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "cid").mapInArrow(giving_back(_verify(k, percent)), "cid long, links long, other long"))
     scratch.drop(wanted)
     joined = connected_components(verified.select(F.col("cid").alias("a"), F.col("other").alias("b")), scratch)
     n_links = scratch.save(verified.groupBy("cid").agg(F.sum("links").alias("n_links")))

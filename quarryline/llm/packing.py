@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import id_text
+from .common import giving_back, id_text
 from .vocab import vocabulary
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, tier long, step_group long, ids array<int>"
@@ -162,4 +162,4 @@ def _packer(tokenizer: str, folder: str | None, end_id: int, max_len: int, short
 
 def pack_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", tokenizer_dir: str | None = None, end_id: int = 1, max_len: int = 2048, shortest_tier: int = 64, group_tokens: int = 2048 * 64, buffer_docs: int = 20_000, buffer_tokens: int = 8_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each piece of a document, with its place in its window (`sequence_id`, `offset`) and its token ids."""
-    return id_text(docs, id_col, text_col).mapInArrow(_packer(tokenizer, tokenizer_dir, end_id, max_len, shortest_tier, group_tokens, buffer_docs, buffer_tokens), SCHEMA)
+    return id_text(docs, id_col, text_col).mapInArrow(giving_back(_packer(tokenizer, tokenizer_dir, end_id, max_len, shortest_tier, group_tokens, buffer_docs, buffer_tokens)), SCHEMA)
