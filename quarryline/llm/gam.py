@@ -205,10 +205,13 @@ def labelled(docs: DataFrame, labels: DataFrame, max_rows: int = 60_000, id_col:
 
 
 def fit_quality(measured: DataFrame, labels: DataFrame, max_rows: int = 60_000, label_col: str = "quality", id_col: str = "doc_id") -> Gam:
-    """The model for labels.quality from `measured` (doc_id, f), on at most about max_rows labelled rows."""
-    known = learnt_from(labels, max_rows, label_col, id_col)
-    rows = measured.join(known, "doc_id").select("f", "y", F.xxhash64("doc_id", "f").alias("at")).toPandas()
-    rows = rows.sort_values("at", kind="stable")  # the fit doesn't depend on the order of arrival
+    """The model for labels.quality from `measured` (doc_id, f), on at most about max_rows labelled ids.
+
+    Of each id and label one row is learnt from, that of the smallest hash: rows that repeat an id neither weigh more nor
+    reach the driver."""
+    known = learnt_from(labels, max_rows, label_col, id_col).distinct()
+    one = measured.join(known, "doc_id").groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("doc_id", "f").alias("at"), "f")).alias("row"))
+    rows = one.select("row.f", "y", "row.at").toPandas().sort_values(["at", "y"])  # the fit doesn't depend on the order of arrival
     x = np.array(rows["f"].tolist(), np.float64).reshape(-1, len(FEATURES))
     return fit_gam(x, rows["y"].to_numpy(np.float64))
 

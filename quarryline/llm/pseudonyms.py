@@ -16,10 +16,10 @@ undoes the permutation.
     ssn        AAA-GG-SSSS in valid ranges: the index among all valid ones
     date       yyyy-mm-dd (a time may follow), dd/mm/yyyy, mm/dd/yyyy where the other is none, or dd.mm.yyyy that exists,
                years 1000 to 9999: the day within its year
-    email      the part before @ becomes a keyed digest, the domain stays
+    email      the part before @, in lower case, becomes a keyed digest of 80 bits, the domain stays
     secret     access keys (AKIA, ghp_), password, token and api_key values in any case: a keyed digest in the same format
 
-E-mails and secrets are no numbers and get one-way digests. What fails its validation is left alone. Separators within a
+E-mails and secrets are no numbers and get one-way digests, of which two may meet by chance only. What fails its validation is left alone. Separators within a
 value stay where they are. The key is a scalar subquery's value: plans, the web interface and event logs don't show it.
 
 Nulls: a null text stays null, with no counts. Empty texts stay empty. Rows keep their number and order within the
@@ -87,7 +87,7 @@ def _power(n: Column) -> Column:
 
 
 def permute_digits(digits: Column, key: Column | str, tweak: Column, rounds: int = 10, decrypt: bool = False) -> Column:
-    """A permutation of the digit strings of each length from 2 to 18."""
+    """A permutation of the digit strings of each length from 2 to 34: each half is a number of at most 17 digits."""
     half = (F.length(digits) / 2).cast("int")
     rest = F.length(digits) - half
     pair = feistel(F.substr(digits, F.lit(1), half).cast("long"), F.substr(digits, half + 1).cast("long"), _power(half), _power(rest), key, F.concat(tweak, F.length(digits).cast("string")), rounds, decrypt)
@@ -157,7 +157,7 @@ def pseudonym(m: Column, key: Column | str, rounds: int = 10) -> Column:
     bban_digits = _only_digits(body)
     checks = lambda rest: 98 - _mod_97(F.concat(F.regexp_replace(rest, " ", ""), F.substring(m, 1, 2), F.lit("00")))
     told = lambda rest: F.concat(F.substring(m, 1, 2), F.lpad(checks(rest).cast("string"), 2, "0"), rest)
-    new_body = lambda: F.when(F.length(bban_digits) <= 18, _refill(body, permute_digits(bban_digits, key, F.concat(F.lit("iban"), F.substring(m, 1, 2)), rounds))).otherwise(_refill(body, F.concat(permute_digits(F.substr(bban_digits, F.lit(1), F.lit(18)), key, F.lit("iban-a"), rounds), permute_digits(F.concat(F.substr(bban_digits, F.lit(19)), F.lit("00")), key, F.lit("iban-b"), rounds))))
+    new_body = lambda: _refill(body, permute_digits(bban_digits, key, F.concat(F.lit("iban"), F.substring(m, 1, 2)), rounds))
     iban = F.when((F.length(bban_digits) >= 2) & (F.length(F.regexp_replace(m, " ", "")).between(15, 34)) & (F.lpad(checks(body).cast("string"), 2, "0") == F.substring(m, 3, 2)), made("iban", _let(new_body(), told))).otherwise(none)
 
     group = F.regexp_extract(m, "^[0-9A-Fa-f]+", 0)
@@ -195,7 +195,7 @@ def pseudonym(m: Column, key: Column | str, rounds: int = 10) -> Column:
 
     token = lambda text, kind: F.sha2(F.concat_ws("|", _column(key), F.lit(kind), text, _column(key)), 256)
     name = F.regexp_extract(m, "^([^@]*)@", 1)
-    email = made("email", F.concat(F.lit("u"), F.substring(token(F.lower(name), "email"), 1, 12), F.substr(m, F.length(name) + 1)))
+    email = made("email", F.concat(F.lit("u"), F.substring(token(F.lower(name), "email"), 1, 20), F.substr(m, F.length(name) + 1)))
     label = F.regexp_extract(m, r"^(?:AKIA|ghp_|[A-Za-z_-]+ ?[=:] ?\"?)", 0)
     body = F.regexp_extract(F.substr(m, F.length(label) + 1), r"^[0-9A-Za-z+/_-]*", 0)
     repeated = F.repeat(token(body, "secret"), F.ceil(F.length(body) / 64).cast("int"))

@@ -110,7 +110,8 @@ class ChunkCache:
         return self.flat[np.repeat(self.start[rows] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
 
     def count(self, chunks: list) -> int:
-        return int(self.size[self.rows(chunks)].sum()) if chunks else 0
+        rows = self.rows(chunks)  # first: it may put new arrays in the place of size
+        return int(self.size[rows].sum())
 
     def ids(self, chunks: list) -> np.ndarray:
         return self._gather(self.rows(chunks)) if chunks else np.zeros(0, np.int32)
