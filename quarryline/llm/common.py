@@ -11,8 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Removes a query's shuffle files when it ends. Every scratch table is written by one query that is never run again.
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings of the queries that write scratch tables. A query's shuffle files go when it ends, as none is run again; and
+#: batches between the JVM and its Python workers are bounded by bytes: texts of any length come by the same few megabytes.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -61,12 +62,14 @@ class Scratch:
     def save(self, df: DataFrame) -> DataFrame:
         self.n += 1
         path = f"{self.root}/{self.n}"
-        before = self.spark.conf.get(_CLEANUP, "false")
-        self.spark.conf.set(_CLEANUP, "true")
+        before = {k: self.spark.conf.get(k, None) for k in _WRITING}
+        for k, v in _WRITING.items():
+            self.spark.conf.set(k, v)
         try:
             df.write.option("compression", "zstd").parquet(path)
         finally:
-            self.spark.conf.set(_CLEANUP, before)
+            for k, v in before.items():
+                self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out

@@ -387,7 +387,7 @@ def _verify(k: int, percent: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, slack: int = 5, block: int = 16_384, block_words: int = 2_000_000, block_sets: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, slack: int = 5, block: int = 16_384, block_words: int = 750_000, block_sets: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, class_id (smallest id with an equal set), n_links (all links of its class to other
     classes), text_key (a hash of the text) and is_first of every row.
 
