@@ -265,4 +265,51 @@ _SQL: dict[str, str] = {
     "partition_skew": "SELECT max(n) AS largest, round(avg(n), 9) AS mean, round(max(n) / avg(n), 9) AS skew, max(n) > 5 * avg(n) AS alert FROM (SELECT count(*) AS n FROM bronze GROUP BY kafka_partition)",
 }
 
+_MARTS = {
+    "dim_vehicle": "(SELECT vehicle_id, CASE WHEN consumption_l_per_100km < 12 THEN 'efficient' WHEN consumption_l_per_100km < 22 THEN 'standard' ELSE 'heavy' END AS consumption_band FROM vehicles)",
+    "dim_driver": "(SELECT driver_id, CASE WHEN aggression_index < 0.8e0 THEN 'cautious' WHEN aggression_index < 1.3e0 THEN 'normal' ELSE 'aggressive' END AS risk_band FROM drivers)",
+    "dim_route": "(SELECT route_id, CASE WHEN planned_distance_km < 50 THEN 'short_haul' WHEN planned_distance_km < 250 THEN 'medium_haul' ELSE 'long_haul' END AS haul_type FROM routes)",
+    "dim_date": "(SELECT unnest(generate_series(TIMESTAMP '2023-12-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS date_key)",
+    "fact_telemetry": "(SELECT * FROM stg)",
+    "fact_trip": "(SELECT * FROM fact_trip)",
+    "fact_vehicle_daily": "(SELECT * FROM fact_daily)",
+    "fact_driver_incident": "(SELECT * FROM incidents)",
+    "lineitem": "lineitem",
+    "readings": "(SELECT * FROM injected)",
+}
+
+
+def _test(table: str, test: str, column: str, failed: str, severity: str = "error") -> str:
+    return f"""SELECT '{table}' AS "table", '{test}' AS test, '{column}' AS "column", '{severity}' AS severity, CAST(({failed}) AS BIGINT) AS failures"""
+
+
+def _rows_where(table: str, test: str, column: str, condition: str, severity: str = "error") -> str:
+    return _test(table, test, column, f"SELECT count(*) FROM {_MARTS[table]} WHERE {condition}", severity)
+
+
+def _unique(table: str, *columns: str) -> str:
+    held = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    return _test(table, "unique", ",".join(columns), f"SELECT count(*) FROM (SELECT 1 FROM {_MARTS[table]} WHERE {held} GROUP BY {', '.join(columns)} HAVING count(*) > 1)")
+
+
+_NOT_NULL = (("dim_vehicle", "vehicle_id"), ("dim_driver", "driver_id"), ("dim_route", "route_id"), ("dim_date", "date_key"), ("fact_telemetry", "event_id"), ("fact_telemetry", "vehicle_id"), ("fact_telemetry", "event_time"), ("fact_trip", "trip_id"), ("fact_trip", "vehicle_id"), ("fact_vehicle_daily", "vehicle_day_key"), ("fact_vehicle_daily", "vehicle_id"), ("fact_driver_incident", "incident_id"), ("fact_driver_incident", "incident_type"))
+_VALUES = (("dim_vehicle", "consumption_band", "'efficient', 'standard', 'heavy'"), ("dim_driver", "risk_band", "'cautious', 'normal', 'aggressive'"), ("dim_route", "haul_type", "'short_haul', 'medium_haul', 'long_haul'"), ("fact_trip", "distinct_vehicles", "1"), ("fact_driver_incident", "incident_type", "'engine_critical_overheat', 'engine_overheat', 'severe_overspeed', 'overspeed', 'low_fuel'"), ("fact_driver_incident", "severity", "'critical', 'high', 'medium', 'low'"))
+_RANGES = (("fact_telemetry", "speed_kmh", "speed_kmh < 0 OR speed_kmh > 200"), ("fact_telemetry", "fuel_level_pct", "fuel_level_pct < 0 OR fuel_level_pct > 100"), ("fact_telemetry", "battery_level_pct", "battery_level_pct < 0 OR battery_level_pct > 100"), ("fact_trip", "duration_seconds", "duration_seconds < 0"), ("fact_vehicle_daily", "total_distance_km", "total_distance_km < 0"), ("fact_vehicle_daily", "utilisation_pct", "utilisation_pct < 0 OR utilisation_pct > 100"))
+_KEYS = (("dim_vehicle", "vehicle_id"), ("dim_driver", "driver_id"), ("dim_route", "route_id"), ("dim_date", "date_key"), ("fact_telemetry", "event_id"), ("fact_trip", "trip_id"), ("fact_vehicle_daily", "vehicle_day_key"), ("fact_vehicle_daily", "vehicle_id", "event_date"), ("fact_driver_incident", "incident_id"))
+_PARENTS = (("fact_telemetry", "vehicle_id", "vehicles"), ("fact_telemetry", "driver_id", "drivers"), ("fact_trip", "vehicle_id", "vehicles"), ("fact_vehicle_daily", "vehicle_id", "vehicles"), ("fact_driver_incident", "vehicle_id", "vehicles"))
+
+_SQL["data_tests"] = " UNION ALL ".join(
+    [_rows_where(t, "not_null", c, f"{c} IS NULL") for t, c in _NOT_NULL]
+    + [_rows_where(t, "values", c, f"{c} NOT IN ({v})") for t, c, v in _VALUES]
+    + [_rows_where(t, "range", c, w) for t, c, w in _RANGES]
+    + [_rows_where("fact_trip", "range", "fuel_consumed_pct", "fuel_consumed_pct < 0", "warn")]
+    + [_unique(t, *k) for t, *k in _KEYS]
+    + [_rows_where(t, "parent", c, f"{c} NOT IN (SELECT {c} FROM {parent})") for t, c, parent in _PARENTS]
+)
+_SQL["data_tests_of_sources"] = " UNION ALL ".join(
+    [_unique("lineitem", "l_orderkey", "l_linenumber"), _unique("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"), _rows_where("lineitem", "range", "l_quantity", "l_quantity < 2 OR l_quantity > 49"), _rows_where("lineitem", "values", "l_returnflag", "l_returnflag NOT IN ('A', 'N')"), _rows_where("lineitem", "not_null", "l_orderkey", "l_orderkey IS NULL")]
+    + [_unique("readings", "vehicle_id"), _rows_where("readings", "not_null", "vehicle_id", "vehicle_id IS NULL"), _rows_where("readings", "not_null", "event_time", "event_time IS NULL"), _rows_where("readings", "not_null", "speed", "speed IS NULL"), _rows_where("readings", "range", "speed", "speed < 0")]
+    + [_rows_where("readings", "parent", "vehicle_id", "vehicle_id NOT IN (SELECT vehicle_id FROM vehicles)"), _rows_where("readings", "parent", "driver_id", "driver_id NOT IN (SELECT driver_id FROM drivers)", "warn")]
+)
+
 ORACLES: dict[str, str] = {name: with_models(sql) for name, sql in _SQL.items()}

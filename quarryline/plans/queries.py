@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quarryline import fixture
 from quarryline.contract import TELEMETRY, parse_schema
 from quarryline.functions.columns import interpolate, quarantine_key, seconds_between, surrogate_key, trailing_window
-from quarryline.operators import checks
+from quarryline.operators import checks, constraints
 from quarryline.operators.enrich import INCIDENT_FIELDS, detect_incidents, enrich, incident_messages, latest_by_key
 from quarryline.plans.models import DISTINCT_LG, Project, quantile
 from quarryline.rules import annotate, split
@@ -472,6 +472,23 @@ def not_null(p: Project) -> DataFrame:
     return checks.nulls(fixture.injected(p.spark, p.sf_dir), ["vehicle_id", "event_time", "speed"])
 
 
+@query
+def data_tests(p: Project) -> DataFrame:
+    """All declared tests of the marts."""
+    return constraints.failures(p.__getitem__, constraints.load_constraints())
+
+
+@query
+def data_tests_of_sources(p: Project) -> DataFrame:
+    """Declared tests of raw tables, which have failures of every kind."""
+    told = {
+        "lineitem": {"unique": [["l_orderkey", "l_linenumber"], ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]], "l_quantity": {"range": [2, 49]}, "l_returnflag": {"values": ["A", "N"]}, "l_orderkey": {"not_null": True}},
+        "readings": {"unique": [["vehicle_id"]], "vehicle_id": {"not_null": True, "parent": "vehicles.vehicle_id"}, "event_time": {"not_null": True}, "speed": {"not_null": True, "range": [0, None]}, "driver_id": {"parent": "drivers.driver_id", "severity": "warn"}},
+    }
+    tables = {"lineitem": lambda: fixture.table(p.spark, p.sf_dir, "lineitem"), "readings": lambda: fixture.injected(p.spark, p.sf_dir)}
+    return constraints.failures(lambda name: tables[name]() if name in tables else p[name], constraints.parse_constraints(told))
+
+
 @query
 def partition_skew(p: Project) -> DataFrame:
     return _rounded(checks.partition_skew(p["bronze"], "kafka_partition"))

@@ -1,4 +1,4 @@
-"""The catalog's databases and tables, dimension seeds, and views of a table store."""
+"""The catalog's databases and tables, dimension seeds, and views of a lake."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 from quarryline.contract import RECONCILIATION, bronze_ddl, create_table_sql, ddl, silver_ddl
-from quarryline.sources.store import TableStore
+from quarryline.sources.lake import Lake
 
 #: Columns of the dimensions.
 DIMENSIONS = {
@@ -50,25 +50,25 @@ def listed(spark: SparkSession, database: str) -> list[str]:
     return sorted(r["tableName"] for r in spark.sql(f"SHOW TABLES IN {database}").collect() if not r["isTemporary"])
 
 
-def seed_dimensions(store: TableStore, rows: dict[str, list[tuple]]) -> dict[str, int]:
+def seed_dimensions(lake: Lake, rows: dict[str, list[tuple]]) -> dict[str, int]:
     """Replaces each dimension by its rows, typed by its DDL; the number of rows of each."""
     unknown = rows.keys() - DIMENSIONS.keys()
     if unknown:
         raise ValueError(f"no such dimensions: {sorted(unknown)}")
     for name, own in rows.items():
-        store.overwrite(name, store.spark.createDataFrame(own, DIMENSIONS[name]))
+        lake.overwrite(name, lake.spark.createDataFrame(own, DIMENSIONS[name]))
     return {name: len(own) for name, own in rows.items()}
 
 
 @contextmanager
-def views(store: TableStore, names: list[str] | None = None, prefix: str = "") -> Iterator[list[str]]:
-    """Temporary views of a store's tables for SQL, dropped at the end."""
+def views(lake: Lake, names: list[str] | None = None, prefix: str = "") -> Iterator[list[str]]:
+    """Temporary views of a lake's tables for SQL, dropped at the end."""
     made = []
     try:
-        for name in names or store.tables():
-            store.read(name).createOrReplaceTempView(f"{prefix}{name}")
+        for name in names or lake.tables():
+            lake.read(name).createOrReplaceTempView(f"{prefix}{name}")
             made.append(f"{prefix}{name}")
         yield made
     finally:
         for name in made:
-            store.spark.catalog.dropTempView(name)
+            lake.spark.catalog.dropTempView(name)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,7 +16,7 @@ from quarryline.contract import QUARANTINE_COLUMNS, RECONCILIATION, parse_schema
 from quarryline.functions.columns import quarantine_key
 from quarryline.operators.enrich import detect_incidents, enrich, incident_messages, latest_by_key
 from quarryline.rules import Rules, annotate, explain_failures
-from quarryline.sources.store import TableStore
+from quarryline.sources.lake import Lake, staging
 
 WATERMARK = "10 minutes"
 #: What a record source must have; the columns of a Kafka source.
@@ -77,41 +77,44 @@ def deduplicated(bronze: DataFrame, delay: str = WATERMARK) -> DataFrame:
     return bronze.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def write_silver_batch(batch: DataFrame, batch_id: int, store: TableStore, run_id: str, rules: Rules | None = None, as_of: datetime | None = None) -> dict[str, int]:
-    """Splits, enriches, upserts and accounts for one micro-batch. A replayed batch id is skipped by the store, and a
-    replay under another id changes rows in place."""
+def write_silver_batch(batch: DataFrame, batch_id: int, lake: Lake, run_id: str, rules: Rules | None = None, as_of: datetime | None = None) -> dict[str, int]:
+    """Splits, enriches, upserts and accounts for one micro-batch, which is read once: the judged rows are staged, and the
+    counters of the ledger are observed while they and the rows of silver are written.
+
+    Every write is by key, so a batch that comes again, under its own number or another, changes rows in place. The ledger
+    has one line for each run, stage and batch."""
     spark = batch.sparkSession
-    inner = TableStore(spark, store.root)
+    inner = lake.within(spark)
     clock = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
-    marked = annotate(batch, rules, as_of).persist()
-    try:
-        counts = marked.agg(F.count("*").alias("source"), F.count_if(~F.col("dq_valid")).alias("rejected"), F.count_distinct(F.when(F.col("dq_valid"), F.col("event_id"))).alias("keys"), F.count_if("dq_valid").alias("good")).first()
+    seen, kept = Observation(), Observation()
+    with staging(spark) as work:
+        judged = work.save(annotate(batch, rules, as_of).observe(seen, F.count(F.lit(1)).alias("source"), F.count_if(~F.col("dq_valid")).alias("rejected")), partition_by="dq_valid")
+        counts = seen.get
         if not counts["source"]:
             return {"source": 0, "duplicates": 0, "rejected": 0, "output": 0}
         if counts["rejected"]:
-            failed = explain_failures(marked, rules).withColumns({"quarantine_id": quarantine_key("event_id", "rule_name", "raw_payload"), "quarantined_at": clock, "run_id": F.lit(run_id)})
-            # The payload fixes both the key and the day, so a replay finds its rows in the day's partition.
+            failed = explain_failures(judged.where("NOT dq_valid"), rules).withColumns({"quarantine_id": quarantine_key("event_id", "rule_name", "raw_payload"), "quarantined_at": clock, "run_id": F.lit(run_id)})
             dated = failed.select(*QUARANTINE_COLUMNS, F.col("ingestion_time").alias("seen_at"), F.to_date("event_time").alias("event_date"))
-            inner.upsert("quarantine", dated, "quarantine_id", ("seen_at",), "event_date", batch=(f"quarantine-{run_id}", batch_id), pruned=True)
-        good = marked.where("dq_valid").drop("dq_failed", "dq_warnings", "dq_valid")
+            inner.upsert("quarantine", dated, "quarantine_id", ("seen_at",), "event_date")
+        good = judged.where("dq_valid").drop("dq_failed", "dq_warnings", "dq_valid")
         rich = enrich(latest_by_key(good, "event_id", "ingestion_time", "kafka_offset"), inner.read("dim_vehicle"), inner.read("dim_driver"))
         columns = [c.split()[0] for c in silver_ddl().split(", ")]
         ready = rich.withColumns({"processed_at": clock, "silver_run_id": F.lit(run_id)}).select(*columns, F.to_date("event_time").alias("event_date"))
-        # A reading's key stands for its time too (the contract's deterministic ids), so its day's partition is enough.
-        inner.upsert("silver", ready, "event_id", ("ingestion_time", "kafka_offset"), "event_date", batch=(f"silver-{run_id}", batch_id), pruned=True)
-        out = {"source": counts["source"], "duplicates": counts["good"] - counts["keys"], "rejected": counts["rejected"], "output": counts["keys"]}
-        ledger = spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit("silver").alias("stage"), F.lit(batch_id).cast("long").alias("batch_id"), *[F.lit(out[k]).cast("long").alias(c) for k, c in (("source", "source_count"), ("duplicates", "duplicate_count"), ("rejected", "rejected_count"), ("output", "output_count"))], clock.alias("recorded_at"))
-        inner.append("reconciliation", ledger.select([f.name for f in RECONCILIATION]), batch=(f"ledger-{run_id}", batch_id))
-        return out
-    finally:
-        marked.unpersist()
+        # A reading whose time was corrected moves to its new day: the key alone tells what it replaces.
+        inner.replace("silver", ready.observe(kept, F.count(F.lit(1)).alias("output")), "event_id", "event_date")
+        output = kept.get["output"]
+        out = {"source": counts["source"], "duplicates": counts["source"] - counts["rejected"] - output, "rejected": counts["rejected"], "output": output}
+    line = spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit("silver").alias("stage"), F.lit(batch_id).cast("long").alias("batch_id"), *[F.lit(out[k]).cast("long").alias(c) for k, c in (("source", "source_count"), ("duplicates", "duplicate_count"), ("rejected", "rejected_count"), ("output", "output_count"))], clock.alias("recorded_at"))
+    if not inner.exists("reconciliation") or not inner.read("reconciliation").where((F.col("run_id") == run_id) & (F.col("stage") == "silver") & (F.col("batch_id") == batch_id)).limit(1).count():
+        inner.append("reconciliation", line.select([f.name for f in RECONCILIATION]), "stage")
+    return out
 
 
-def start_silver(bronze: DataFrame, store: TableStore, checkpoint: str, run_id: str, interval: str | None = "60 seconds", batch_only: bool = False, as_of: datetime | None = None) -> StreamingQuery:
+def start_silver(bronze: DataFrame, lake: Lake, checkpoint: str, run_id: str, interval: str | None = "60 seconds", batch_only: bool = False, as_of: datetime | None = None) -> StreamingQuery:
     """Upserts each micro-batch. batch_only leaves out the watermark's dedup: the upsert alone removes repeats, with no
     late row lost."""
     source = bronze if batch_only else deduplicated(bronze)
-    writer = source.writeStream.foreachBatch(lambda df, n: write_silver_batch(df, n, store, run_id, as_of=as_of) and None).option("checkpointLocation", checkpoint)
+    writer = source.writeStream.foreachBatch(lambda df, n: write_silver_batch(df, n, lake, run_id, as_of=as_of) and None).option("checkpointLocation", checkpoint)
     return _trigger(writer, interval).start()
 
 

@@ -1,5 +1,5 @@
-"""End-to-end checks over a table store, as a report of lines. `python -m quarryline.verify <store folder> [bronze folder [manifest]]`. With a bronze folder, a sample is replayed, which
-writes to the store."""
+"""End-to-end checks over a lake, as a report of lines. `python -m quarryline.verify <database> [bronze folder [manifest]]`. With a bronze folder, a sample is replayed, which
+writes to the lake."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.operators import checks
-from quarryline.sources.store import TableStore
+from quarryline.sources.lake import Lake
 from quarryline.streaming.jobs import write_silver_batch
 
 
@@ -31,14 +31,14 @@ def _line(name: str, good: bool, detail: str) -> Line:
 SAMPLE = 500
 
 
-def replay(store: TableStore, bronze: DataFrame, as_of: datetime | None = None, most: int = SAMPLE) -> Line:
+def replay(lake: Lake, bronze: DataFrame, as_of: datetime | None = None, most: int = SAMPLE) -> Line:
     """Sends up to `most` stored readings through the write path once more: no count may change."""
-    ids = [r["event_id"] for r in store.read("silver").select("event_id").orderBy("event_id").limit(most).collect()]
+    ids = [r["event_id"] for r in lake.read("silver").select("event_id").orderBy("event_id").limit(most).collect()]
     if not ids:
         return Line("replay changes nothing", "SKIP", "silver is empty")
-    count = lambda: [store.read(t).count() if store.exists(t) else 0 for t in ("silver", "quarantine")]
+    count = lambda: [lake.read(t).count() if lake.exists(t) else 0 for t in ("silver", "quarantine")]
     before = count()
-    write_silver_batch(bronze.where(F.col("event_id").isin(ids)).drop("event_date"), 0, store, f"replay-{uuid.uuid4().hex}", as_of=as_of)
+    write_silver_batch(bronze.where(F.col("event_id").isin(ids)).drop("event_date"), 0, lake, f"replay-{uuid.uuid4().hex}", as_of=as_of)
     after = count()
     return _line("replay changes nothing", before == after, f"{len(ids)} readings sent again, rows {before} -> {after}")
 
@@ -58,11 +58,11 @@ def against_manifest(bronze: DataFrame, manifest: dict | None) -> Line:
     return _line("all that was sent came in", (n["n"], n["k"]) == (manifest["produced"], manifest["clean"]), f"{n['n']} of {manifest['produced']} records, {n['k']} of {manifest['clean']} keys")
 
 
-def verify(store: TableStore, bronze: DataFrame | None = None, injected: int | None = None, manifest: dict | None = None, with_replay: bool = False, as_of: datetime | None = None) -> list[Line]:
+def verify(lake: Lake, bronze: DataFrame | None = None, injected: int | None = None, manifest: dict | None = None, with_replay: bool = False, as_of: datetime | None = None) -> list[Line]:
     """PASS, FAIL or SKIP for each check; SKIP where a table that it needs isn't there."""
-    have = set(store.tables())
-    silver = store.read("silver") if "silver" in have else None
-    quarantine = store.read("quarantine") if "quarantine" in have else None
+    have = set(lake.tables())
+    silver = lake.read("silver") if "silver" in have else None
+    quarantine = lake.read("quarantine") if "quarantine" in have else None
     out: list[Line] = []
     if bronze is None:
         out.append(Line("bronze ingested", "SKIP", "no bronze table was given"))
@@ -97,11 +97,11 @@ def verify(store: TableStore, bronze: DataFrame | None = None, injected: int | N
     out.append(late_events(silver) if silver is not None else Line("late readings keep their day", "SKIP", "no silver table"))
     out.append(against_manifest(bronze, manifest) if bronze is not None else Line("all that was sent came in", "SKIP", "no bronze table was given"))
     if silver is not None and bronze is not None and with_replay:
-        out.append(replay(store, bronze, as_of))
+        out.append(replay(lake, bronze, as_of))
     else:
         out.append(Line("replay changes nothing", "SKIP", "not asked for"))
     if "reconciliation" in have:
-        r = checks.reconciliation_balance(store.read("reconciliation")).first()
+        r = checks.reconciliation_balance(lake.read("reconciliation")).first()
         out.append(_line("reconciliation balances", not r["unbalanced"], f"{r['unbalanced']} of {r['batches']} batches"))
     else:
         out.append(Line("reconciliation balances", "SKIP", "no ledger"))
@@ -113,7 +113,7 @@ def main(args: list[str]) -> int:
 
     spark = build_session("verify")
     manifest = json.loads("".join(r["value"] for r in spark.read.text(args[2]).collect())) if len(args) > 2 else None
-    report = verify(TableStore(spark, args[0]), spark.read.parquet(args[1]) if len(args) > 1 else None, manifest=manifest, with_replay=len(args) > 1)
+    report = verify(Lake(spark, args[0]), spark.read.parquet(args[1]) if len(args) > 1 else None, manifest=manifest, with_replay=len(args) > 1)
     for line in report:
         print(f"{line.status:4}  {line.name}: {line.detail}")
     return int(any(line.status == "FAIL" for line in report))
