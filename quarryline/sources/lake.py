@@ -162,7 +162,7 @@ class Lake:
         table that isn't there is made. `rows` is evaluated once."""
         if not self.exists(table):
             self.create(table, rows.schema, day)
-            self._index(table, self._entries(rows.limit(0), key, day))
+            self._index(table, self._entries(self.spark.createDataFrame([], rows.schema), key, day))
             self._set_key(table, key)
         with staging(self.spark) as work:
             new = work.save(rows.select(self.read(table).columns))

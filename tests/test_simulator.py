@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from quarryline.sources.simulator import Delivery, SimulatedTelemetry, Vehicle
-from quarryline.sources.store import TableStore
+from quarryline.sources.lake import Lake
 from quarryline.verify import verify
 
 
@@ -26,7 +26,7 @@ def test_batch_source_and_hot_vehicle(spark):
 
 
 def test_verification_of_an_empty_store(spark, tmp_path):
-    report = verify(TableStore(spark, f"file://{tmp_path}/none"))
+    report = verify(Lake(spark, "empty_lake"))
     assert report and {line.status for line in report} == {"SKIP"}
 
 
