@@ -1,54 +1,54 @@
-"""Deduplication with an explicit output for late readings, and a look into streaming state as tables.
+"""Deduplication with an explicit output for late readings.
 
 A watermark dedup drops what comes in late. Here every reading of a stream is judged by its key's state and the watermark of
-the query: the first of a key is accepted, or late where its time lies below the watermark, and every later one is repeated.
-All are passed on with their judgement, so accepted + late + repeated = input, and what to do with late ones is a choice.
+the query: the first of a key is accepted, or late where its time lies below the watermark, and every other one is repeated.
+All are passed on with their judgement, so accepted + late + repeated = input, and what to do with late ones is the caller's
+choice. State and watermark are part of the checkpoint, so a batch that runs again after a restart is judged alike.
+
+Needs the RocksDB state store. The state's time to live counts processing time, and under it Spark asks for another batch
+forever: a job that ends (availableNow) must set spark.sql.streaming.noDataMicroBatches.enabled to false.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import Any
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from quarryline.functions.columns import unused
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 ARRIVAL = "arrival"
 ACCEPTED, LATE, REPEATED = "accepted", "late", "repeated"
 
 
-def judged(readings: DataFrame, key: str = "event_id", time: str = "event_time", delay: str = "10 minutes", forget_after: str | int = 86_400_000, order: tuple[str, ...] = ("ingestion_time", "kafka_offset")) -> DataFrame:
-    """`readings` with the column arrival: accepted, late or repeated.
+class Judge(StatefulProcessor):
+    """One flag for each key, which the state store forgets `forget_ms` after the key was last seen."""
 
-    A key's state is one flag. It is kept for forget_after milliseconds of processing time after the key was last seen, so
-    the state stays bounded; a key that comes again after that is new. Of readings of one key in one batch the first by
-    `order` comes first. Only the key, the order and the time go to Python: the readings are joined to their judgement by a
-    number of the row within its key's group.
-    """
-    where = unused("place", readings)
-    columns = readings.columns
-    marked = readings.withWatermark(time, delay)
-    schema = readings.schema.add(ARRIVAL, "string")
-
-    def judge(_: Any, frames: Iterator, state: GroupState) -> Iterator:
-        import pandas as pd
-
-        if state.hasTimedOut:
-            state.remove()
-            return
-        seen = state.exists
-        watermark = state.getCurrentWatermarkMs()
-        group = pd.concat(list(frames), ignore_index=True).sort_values(list(order), kind="stable", na_position="last")
-        late = group[time].iloc[0].timestamp() * 1000 < watermark
+    def __init__(self, time: str, order: tuple[str, ...], forget_ms: int):
+        self.time, self.order, self.forget_ms = time, order, forget_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "flag boolean", self.forget_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        group = pd.concat(list(rows), ignore_index=True).sort_values(list(self.order), kind="stable", na_position="last")
         group[ARRIVAL] = REPEATED
-        if not seen:
+        if not self.seen.exists():
+            # The watermark counts in milliseconds; none has passed while it is 0.
+            late = int(group[self.time].iloc[0].timestamp() * 1000) < timerValues.getCurrentWatermarkInMs()
             group.iloc[0, group.columns.get_loc(ARRIVAL)] = LATE if late else ACCEPTED
-        state.update((True,))
-        state.setTimeoutDuration(forget_after)
-        yield group[[*columns, ARRIVAL]]
+        self.seen.update((True,))
+        yield group
 
-    del where
-    return marked.groupBy(key).applyInPandasWithState(judge, schema, "seen boolean", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    def close(self) -> None:
+        pass
+
+
+def judged(readings: DataFrame, key: str = "event_id", time: str = "event_time", delay: str = "10 minutes", forget_ms: int = 86_400_000, order: tuple[str, ...] = ("ingestion_time", "kafka_offset")) -> DataFrame:
+    """`readings` with the column arrival: accepted, late or repeated.
+
+    A key's state is kept for forget_ms of processing time after the key was last seen, so the state is bounded; a key that
+    comes again after that counts as new. Of readings of one key in one batch the first by `order` comes first.
+    """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in readings.schema) + f", {ARRIVAL} string"
+    return readings.withWatermark(time, delay).groupBy(key).transformWithStateInPandas(Judge(time, order, forget_ms), schema, "Append", "ProcessingTime")
