@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import json
+import queue
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +14,18 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from quarryline.sources.lake import Lake
+
 PROGRESS = "query string, batch_id long, at timestamp, input_rows long, input_per_second double, processed_per_second double, batch_ms long, state_rows long, dropped_late long, behind long"
-#: The limits of the alerts.
-SLOW_BATCH_MS, HIGH_LAG, SKEW = 30_000, 500_000, 5.0
+#: The condition of each alert and for how many minutes it must hold; the lag's skew.
+ALERTS = {
+    "lag grows": ("lag_per_second > 0", 10),
+    "high lag": ("behind > 500000", 15),
+    "nothing arrives": ("input_rows = 0", 10),
+    "slow batches": ("batch_ms > 30000", 10),
+    "late rows dropped": ("dropped_late > 0", 0),
+}
+SKEW = 5.0
 
 
 def progress_row(progress: dict) -> tuple:
@@ -27,16 +40,31 @@ def progress_row(progress: dict) -> tuple:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps the last `most` progress rows; `frame` gives them as a table, `write` adds them to a table store's log."""
+    """Appends the progress of all queries to a table of the lake, from a thread of its own: `listening` starts and ends it.
+
+    Progress waits in a queue of at most `most` rows, so a table that can't be written doesn't hold up the queries; what
+    finds the queue full is counted in `lost`, and rows whose append failed are tried again with the next ones. Rows that
+    were written outlive the driver; a restarted one goes on with the same table.
+    """
+
+    TABLE = "stream_progress"
 
-    def __init__(self, most: int = 10_000):
-        self.most, self.rows = most, []
+    def __init__(self, lake: Lake, most: int = 10_000, every_seconds: float = 60.0):
+        self.lake, self.every = lake, every_seconds
+        self.waiting: queue.Queue[tuple] = queue.Queue(most)
+        self.failed: list[tuple] = []
+        self.lost = 0
+        self.ended = threading.Event()
+        self.thread = threading.Thread(target=self._work, name="progress-log", daemon=True)
 
     def onQueryStarted(self, event) -> None:  # noqa: N802
         pass
 
     def onQueryProgress(self, event) -> None:  # noqa: N802
-        self.rows = [*self.rows, progress_row(json.loads(event.progress.json))][-self.most :]
+        try:
+            self.waiting.put_nowait(progress_row(json.loads(event.progress.json)))
+        except queue.Full:
+            self.lost += 1
 
     def onQueryIdle(self, event) -> None:  # noqa: N802
         pass
@@ -44,8 +72,38 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:  # noqa: N802
         pass
 
-    def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.rows, PROGRESS)
+    def _work(self) -> None:
+        while not self.ended.wait(self.every):
+            self.flush()
+
+    def flush(self) -> int:
+        """Appends what waits; the number of rows. A row goes to the day that it is of."""
+        rows, self.failed = self.failed, []
+        while len(rows) < self.waiting.maxsize + 1 and not self.waiting.empty():
+            rows.append(self.waiting.get_nowait())
+        if not rows:
+            return 0
+        try:
+            self.lake.append(self.TABLE, self.lake.spark.createDataFrame(rows, PROGRESS).withColumn("day", F.to_date("at")).coalesce(1), "day")
+        except Exception:  # noqa: BLE001  the queries go on; the rows are kept for the next time, as many as the queue holds
+            self.failed = rows[-self.waiting.maxsize :]
+            self.lost += len(rows) - len(self.failed)
+            return 0
+        return len(rows)
+
+    @contextmanager
+    def listening(self) -> Iterator[ProgressLog]:
+        spark = self.lake.spark
+        spark.streams.addListener(self)
+        self.thread.start()
+        try:
+            yield self
+        finally:
+            spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(20_000)
+            spark.streams.removeListener(self)
+            self.ended.set()
+            self.thread.join()
+            self.flush()
 
 
 def health(progress: DataFrame) -> DataFrame:
@@ -58,9 +116,17 @@ def health(progress: DataFrame) -> DataFrame:
 
 
 def alerts(progress: DataFrame) -> DataFrame:
-    """query, alert of everything out of bounds."""
-    found = F.array_compact(F.array(F.when(F.col("slowest_batch_ms") > SLOW_BATCH_MS, "slow batches"), F.when(F.col("behind") > HIGH_LAG, "high lag"), F.when(F.col("lag_per_second") > 0, "lag grows"), F.when(F.col("dropped_late") > 0, "late rows dropped")))
-    return health(progress).select("query", F.explode(found).alias("alert"))
+    """query, alert, since, held_minutes of everything that has been out of bounds without a break, up to the last progress of
+    its query, for as long as its alert asks."""
+    seconds = lambda c: F.unix_micros(c) / 1e6
+    by = W.partitionBy("query")
+    rate = (F.col("behind") - F.lag("behind").over(by.orderBy("batch_id"))) / (seconds("at") - seconds(F.lag("at").over(by.orderBy("batch_id"))))
+    each = F.array(*[F.struct(F.lit(name).alias("alert"), F.lit(minutes).alias("minutes"), F.coalesce(F.expr(condition), F.lit(False)).alias("out")) for name, (condition, minutes) in ALERTS.items()])
+    told = progress.withColumn("lag_per_second", rate).select("query", "at", F.inline(each))
+    good = F.max(F.when(~F.col("out"), F.col("at"))).over(W.partitionBy("query", "alert"))
+    run = told.withColumn("good", good).where("out AND (good IS NULL OR at > good)").groupBy("query", "alert", "minutes").agg(F.min("at").alias("since"), F.max("at").alias("last"))
+    held = (seconds("last") - seconds("since")) / 60
+    return run.withColumn("held_minutes", held).where(F.col("held_minutes") >= F.col("minutes")).select("query", "alert", "since", "held_minutes")
 
 
 def partition_lag(offsets: DataFrame, skew: float = SKEW) -> DataFrame:

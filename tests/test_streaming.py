@@ -2,6 +2,7 @@
 
 import json
 import threading
+import types
 import uuid
 from datetime import datetime
 
@@ -100,26 +101,45 @@ def test_options_of_sources_and_sinks_and_checkpoints():
         jobs.checkpoint("r", "../x")
 
 
-def test_progress_counts_late_rows_and_feeds_panels_and_alerts(spark, tmp_path):
-    log = ProgressLog()
-    spark.streams.addListener(log)
-    try:
-        schema = jobs.to_bronze(spark.createDataFrame([], jobs.RECORD), "r", AS_OF).schema
-        for n, time in enumerate(("10:00", "12:00", "10:05")):  # the last is older than the watermark after the second
-            rows = spark.createDataFrame([_record(n, event_time=f"2026-03-10T{time}:00.000Z")], "key string, value string, topic string, partition int, offset bigint, timestamp string").withColumn("timestamp", F.to_timestamp("timestamp"))
-            jobs.to_bronze(rows, "r", AS_OF).write.mode("append").parquet(f"{tmp_path}/b")
+def test_progress_is_kept_in_a_table_and_feeds_panels_and_alerts(spark, tmp_path, lake):
+    schema = jobs.to_bronze(spark.createDataFrame([], jobs.RECORD), "r", AS_OF).schema
+    for n, time in enumerate(("10:00", "12:00", "10:05")):  # the last is older than the watermark after the second
+        log = ProgressLog(lake, every_seconds=0.2)  # a driver of its own each time
+        with log.listening():
+            _bronze(spark, [_record(n, event_time=f"2026-03-10T{time}:00.000Z")], AS_OF).write.mode("append").parquet(f"{tmp_path}/b")
             source = jobs.deduplicated(jobs.bronze_stream(spark, f"{tmp_path}/b", schema))
             source.writeStream.queryName("dedup").format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", jobs.checkpoint(f"{tmp_path}", "dedup")).trigger(availableNow=True).start().awaitTermination()
-        spark._jsparkSession.sparkContext().listenerBus().waitUntilEmpty(20_000)
-    finally:
-        spark.streams.removeListener(log)
+        assert log.lost == 0
     assert spark.read.parquet(f"{tmp_path}/out").count() == 2
-    found = health(log.frame(spark)).collect()
+    progress = lake.read(ProgressLog.TABLE)
+    found = health(progress).collect()
     assert len(found) == 1 and found[0]["query"] == "dedup" and found[0]["input_rows"] == 3 and found[0]["dropped_late"] == 1 and found[0]["state_rows"] >= 0
-    assert {r["alert"] for r in alerts(log.frame(spark)).collect()} >= {"late rows dropped"}
+    assert "late rows dropped" in {r["alert"] for r in alerts(progress.where("input_rows > 0")).collect()}
+
+
+def test_a_full_queue_and_a_failing_table_hold_nothing_up(spark, lake, monkeypatch):
+    log = ProgressLog(lake, most=3)
+    told = {"name": "q", "batchId": 1, "timestamp": "2026-03-10T10:00:00.000Z"}
+    event = types.SimpleNamespace(progress=types.SimpleNamespace(json=json.dumps(told)))
+    for _ in range(5):
+        log.onQueryProgress(event)
+    assert log.lost == 2
+    with monkeypatch.context() as m:
+        m.setattr(Lake, "append", lambda *a: 1 / 0)
+        assert log.flush() == 0 and len(log.failed) == 3
+    log.onQueryProgress(event)
+    assert log.flush() == 4 and log.lost == 2 and lake.read(ProgressLog.TABLE).count() == 4
+
+
+def test_alerts_fire_only_after_their_time(spark):
     t = datetime(2026, 1, 1)
-    rows = [("q", k, t.replace(minute=k), 1, 1.0, 1.0, 100 if k else 31_000, 0, 0, 600_000 * k) for k in range(3)]
-    assert {r["alert"] for r in alerts(spark.createDataFrame(rows, PROGRESS)).collect()} == {"slow batches", "high lag", "lag grows"}
+    row = lambda q, k, ms=100, rows=1, behind=0: (q, k, t.replace(minute=k), rows, 1.0, 1.0, ms, 0, 0, behind)
+    rows = [row("all", k, 31_000, 0, 600_000 * (k + 1)) for k in range(17)]
+    rows += [row("brief", k, 31_000, 0, 600_000 * (k + 1)) for k in range(10)]
+    rows += [row("mended", k, 31_000 if k != 12 else 10) for k in range(17)] + [row("fine", k, behind=100 - k) for k in range(17)]
+    rows += [row("lately", k, 31_000 if k > 3 else 10) for k in range(17)]
+    found = {(r["query"], r["alert"]): round(r["held_minutes"]) for r in alerts(spark.createDataFrame(rows, PROGRESS)).collect()}
+    assert found == {("all", "slow batches"): 16, ("all", "high lag"): 16, ("all", "nothing arrives"): 16, ("all", "lag grows"): 15, ("lately", "slow batches"): 12}
     offsets = spark.createDataFrame([(p, 1000 if p else 90_000, 0) for p in range(12)], "kafka_partition int, latest long, committed long")
     assert [r["kafka_partition"] for r in partition_lag(offsets).where("skewed").collect()] == [0]
 
