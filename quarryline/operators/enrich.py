@@ -61,7 +61,7 @@ def detect_incidents(readings: DataFrame) -> DataFrame:
     return found.withColumn("severity", F.when(F.col("incident_type") == "engine_critical_overheat", "critical").when(high, "high").otherwise("medium"))
 
 
-#: Fields of an incident message, in order.
+#: Fields of an incident message, in order.
 INCIDENT_FIELDS = ("event_id", "vehicle_id", "driver_id", "trip_id", "event_time", "incident_type", "severity", "speed", "engine_temperature", "fuel_level", "battery_level", "latitude", "longitude")
 
 

@@ -238,8 +238,11 @@ _SQL: dict[str, str] = {
     "dq_split_valid": f"SELECT event_id, vehicle_id, trip_id FROM (SELECT *, {_FAILED} AS f FROM telemetry) WHERE len(f) = 0",
     "dq_split_quarantine": f"SELECT event_id, unnest(f) AS rule_name, 'critical' AS rule_severity FROM (SELECT *, {_FAILED} AS f FROM telemetry)",
     "corruption_counts": f"SELECT injection, count(*) AS records, count_if(list_contains(f, rule)) AS caught FROM (SELECT *, {_FAILED} AS f, {_RULE_OF} AS rule FROM injected WHERE injection IS NOT NULL) GROUP BY 1",
-    "injection_ledger": "SELECT count(*) + count_if(kafka_offset % 50 = 0) AS total_produced, count_if(injection IS NULL) AS clean, count_if(kafka_offset % 50 = 0) AS duplicates, count(injection) AS invalid FROM injected",
+    "injection_ledger": "SELECT count(*) + count_if(kafka_offset % 50 = 0) AS total_produced, count_if(injection IS NULL) AS clean, count_if(kafka_offset % 50 = 0) AS duplicates, count(injection) AS invalid, count_if(CAST(floor(epoch(ingestion_time)) AS BIGINT) - CAST(floor(epoch(event_time)) AS BIGINT) > 300) AS late, (SELECT max(n) FROM (SELECT count(*) AS n FROM telemetry GROUP BY vehicle_id)) AS hot FROM injected",
     "upsert_merge": "SELECT event_id, vehicle_id, event_date, speed FROM merged",
+    "upsert_moved_day": """SELECT event_id, CASE WHEN kafka_offset % 7 = 0 OR kafka_offset % 5 = 0 THEN round(round(speed, 4) + 1000, 4) ELSE round(speed, 4) END AS speed,
+      CAST(CASE WHEN kafka_offset % 7 = 0 THEN CAST(event_time AS DATE) + 1 ELSE CAST(event_time AS DATE) END AS DATE) AS event_date FROM telemetry""",
+    "record_bytes": "SELECT hex(encode(vehicle_id)) AS key_hex, vehicle_id AS key, event_id, trip_id, round(speed, 6) AS speed FROM telemetry",
     "replay_idempotent": "SELECT count(*) AS rows_before, count(*) AS rows_after, count(DISTINCT event_id) AS keys_after FROM merged",
     "replay_sample": """SELECT (SELECT count(*) FROM silver) AS rows_before, (SELECT count(*) FROM bronze WHERE event_id IN (SELECT event_id FROM silver ORDER BY 1 LIMIT 500)) AS replayed,
       (SELECT count(*) FROM silver) AS rows_after, (SELECT count(*) FROM silver) AS keys_after""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from quarryline.operators import checks, constraints
 from quarryline.operators.enrich import INCIDENT_FIELDS, detect_incidents, enrich, incident_messages, latest_by_key
 from quarryline.plans.models import DISTINCT_LG, Project, quantile
 from quarryline.rules import annotate, split
+from quarryline.sources.lake import Lake, staging_root
 from quarryline.verify import SAMPLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +68,15 @@ def json_extract(p: Project) -> DataFrame:
     return p["telemetry"].select("event_id", F.get_json_object("raw_payload", "$.k").alias("k"), F.get_json_object("raw_payload", "$.absent").isNull().alias("no_such_field"))
 
 
+@query
+def record_bytes(p: Project) -> DataFrame:
+    """Keys and values of records as bytes, as a broker has them, cast to text and parsed."""
+    body = F.to_json(F.struct("event_id", "vehicle_id", "trip_id", F.round("speed", 6).alias("speed")))
+    sent = p["telemetry"].select(F.col("vehicle_id").cast("binary").alias("key"), body.cast("binary").alias("value"))
+    told = sent.select(F.hex("key").alias("key_hex"), F.col("key").cast("string").alias("key"), F.from_json(F.col("value").cast("string"), parse_schema()).alias("t"))
+    return told.select("key_hex", "key", "t.event_id", "t.trip_id", "t.speed")
+
+
 @query
 def incident_json(p: Project) -> DataFrame:
     """Messages read back, as their text differs between engines in spacing."""
@@ -347,7 +358,10 @@ def corruption_counts(p: Project) -> DataFrame:
 def injection_ledger(p: Project) -> DataFrame:
     rows = fixture.injected(p.spark, p.sf_dir)
     again = F.col("kafka_offset") % 50 == 0
-    return rows.agg((F.count("*") + F.count_if(again)).alias("total_produced"), F.count_if(F.col("injection").isNull()).alias("clean"), F.count_if(again).alias("duplicates"), F.count("injection").alias("invalid"))
+    late = F.unix_seconds("ingestion_time") - F.unix_seconds("event_time") > 300
+    counts = rows.agg((F.count("*") + F.count_if(again)).alias("total_produced"), F.count_if(F.col("injection").isNull()).alias("clean"), F.count_if(again).alias("duplicates"), F.count("injection").alias("invalid"), F.count_if(late).alias("late"))
+    hot = p["telemetry"].groupBy("vehicle_id").agg(F.count("*").alias("n")).agg(F.max("n").alias("hot"))
+    return checks.side_by_side(counts, hot)
 
 
 # upserts and increments
@@ -369,6 +383,18 @@ def upsert_merge(p: Project) -> DataFrame:
     return merged(target, updates, "event_id", "kafka_offset").select("event_id", "vehicle_id", "event_date", "speed")
 
 
+@query
+def upsert_moved_day(p: Project) -> DataFrame:
+    """The stored table after updates by key alone, of which many move their reading to the next day."""
+    rows = p["telemetry"].select("event_id", "kafka_offset", F.round("speed", 4).alias("speed"), F.to_date("event_time").alias("event_date"))
+    moved = F.col("kafka_offset") % 7 == 0
+    updates = rows.where(moved | (F.col("kafka_offset") % 5 == 0)).select("event_id", "kafka_offset", F.round(F.col("speed") + 1000, 4).alias("speed"), F.when(moved, F.date_add("event_date", 1)).otherwise(F.col("event_date")).alias("event_date"))
+    lake = Lake(p.spark, f"moved_{uuid.uuid4().hex}", location=f"{staging_root(p.spark)}/moved-{uuid.uuid4().hex}")
+    for part in (rows, updates, updates):
+        lake.upsert("readings", part, "event_id", ("kafka_offset",), "event_date")
+    return lake.read("readings").select("event_id", "speed", "event_date")
+
+
 @query
 def replay_idempotent(p: Project) -> DataFrame:
     """Counts of the target before and after its own rows are merged into it again."""

@@ -27,6 +27,8 @@ def _line(name: str, good: bool, detail: str) -> Line:
     return Line(name, "PASS" if good else "FAIL", detail)
 
 
+#: Fixed value: how many rows may be missing, as a share of the records and at least.
+MISSING_SHARE, MISSING_ROWS = 0.02, 500
 #: Readings that a replay sends again at most.
 SAMPLE = 500
 
@@ -90,7 +92,7 @@ def verify(lake: Lake, bronze: DataFrame | None = None, injected: int | None = N
         out.append(_line("quarantine is exclusive", not leaked, f"{leaked} rows are in both"))
         if bronze is not None:
             c = checks.row_conservation(bronze, silver, quarantine).first()
-            out.append(_line("rows conserved", abs(c["missing"]) <= max(0.02 * c["records"], 500), f"{c['missing']} of {c['records']} missing"))
+            out.append(_line("rows conserved", abs(c["missing"]) <= max(MISSING_SHARE * c["records"], MISSING_ROWS), f"{c['missing']} of {c['records']} missing"))
     if silver is not None and bronze is not None:
         altered = checks.altered_times(silver, bronze).count()
         out.append(_line("event time preserved", not altered, f"{altered} times differ"))
