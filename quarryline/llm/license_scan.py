@@ -48,6 +48,8 @@ NOTICES = {
 _BITS = 60
 #: Gram positions of templates up to which their table is broadcast (a few hundred bytes each); a larger one is shuffled.
 _MOST_BROADCAST = 100_000
+#: Keys that stand for texts where they are shuffled.
+_SALTS = 1024
 _KIND = "template int, label string, phrase boolean, at int, grams int, template_words int, t0 string, t1 string, t2 string"
 
 
@@ -88,8 +90,15 @@ def license_scan(docs: DataFrame, phrases: dict[str, str] | None = None, notices
     n = F.size("words")
     rolled = texts.select("doc_id", "row", n.cast("long").alias("n_words"), "words", F.explode(F.sequence(F.lit(-1), F.greatest(n - 2, F.lit(-1)))).alias("pos"))
     word = lambda k: F.when(F.col("pos") < 0, F.lit("")).otherwise(F.get("words", F.col("pos") + k))
-    same = (word(0) == F.col("t0")) & (word(1) == F.col("t1")) & (F.col("t2").isNull() | F.col("t2").eqNullSafe(word(2)))
-    hits = rolled.join(F.broadcast(grams) if n_grams <= _MOST_BROADCAST else grams, (F.xxhash64(word(0), word(1)) == F.col("gram")) & same)
+    same = lambda w0, w1, w2: (w0 == F.col("t0")) & (w1 == F.col("t1")) & (F.col("t2").isNull() | F.col("t2").eqNullSafe(w2))
+    if n_grams <= _MOST_BROADCAST:
+        hits = rolled.join(F.broadcast(grams), (F.xxhash64(word(0), word(1)) == F.col("gram")) & same(word(0), word(1), word(2)))
+    else:
+        # A position is shuffled with its three words alone, and the rows that stand for texts are dealt out by a salt.
+        held = grams.where("t0 <> ''").unionByName(grams.where("t0 = ''").withColumn("gram", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long")))))
+        gram = F.when(F.col("pos") < 0, F.pmod("row", F.lit(_SALTS))).otherwise(F.xxhash64("w0", "w1"))
+        placed = rolled.select("doc_id", "row", "n_words", "pos", *[word(k).alias(f"w{k}") for k in range(3)]).withColumn("place", gram)
+        hits = placed.join(held.hint("merge"), (F.col("place") == F.col("gram")) & same(F.col("w0"), F.col("w1"), F.col("w2")))
 
     # From here on all rows of a text are together: aggregates and windows by the row number shuffle nothing more.
     text, kind = ["row", "doc_id", "n_words"], ["template", "label", "phrase", "grams", "template_words"]
