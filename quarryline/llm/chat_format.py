@@ -10,8 +10,11 @@ after is the frame, what lies between is the text. Loss spans are these places.
 so that any text, control strings included, is read back exactly by `read_marked`.
 
 Whole prefixes are rendered, which costs the square of a conversation's turns, unless the template is declared to append
-only: then prefixes go back at most `window` turns, and n_cut counts the turns rendered so. A conversation is streamed
-through one task in turn order, and of it only the prefix and the formatted text are held.
+only: then prefixes go back at most `window` turns, and n_cut counts the turns rendered so. That is proved, not trusted: each
+time the turns have doubled since, and at the end, the whole conversation is rendered and must equal the spans so far, one
+after another; where it doesn't, the conversation is done over with whole prefixes. is_whole tells of every conversation that
+its spans are its whole rendering. A conversation is streamed through one task in turn order; its turns and its formatted
+text are held.
 
 Nulls: a null text or role is empty; rows with a null conv_id form one conversation; a null turn stands first; rows with
 equal turns stand in order of role and text, repeated rows are turns of their own.
@@ -28,8 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 Turns = list[tuple[str, str]]
-SCHEMA = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_rewrites long, n_unlocated long, loss_spans array<struct<start:long,end:long>>, formatted_sha256 string, formatted string, n_cut long"
-_KINDS = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_rewrites", pa.int64()), ("n_unlocated", pa.int64()), ("loss_spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("formatted_sha256", pa.string()), ("formatted", pa.string()), ("n_cut", pa.int64())])
+SCHEMA = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_rewrites long, n_unlocated long, loss_spans array<struct<start:long,end:long>>, formatted_sha256 string, formatted string, n_cut long, is_whole boolean"
+_KINDS = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_rewrites", pa.int64()), ("n_unlocated", pa.int64()), ("loss_spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("formatted_sha256", pa.string()), ("formatted", pa.string()), ("n_cut", pa.int64()), ("is_whole", pa.bool_())])
 
 
 def escape(text: str) -> str:
@@ -112,14 +115,37 @@ class _Digest:
     """What the rows of one conversation come to, with everything read back from the rendered output."""
 
     def __init__(self, conv_id, template, read, undo, loss_roles, window):
-        self.conv_id, self.read, self.undo, self.loss_roles = conv_id, read, undo, loss_roles
-        self.render = IncrementalRender(template, window)
+        self.conv_id, self.template, self.read, self.undo, self.loss_roles = conv_id, template, read, undo, loss_roles
+        self._begin(window)
+        self.said: Turns = []
+
+    def _begin(self, window: int | None) -> None:
+        self.render = IncrementalRender(self.template, window)
+        self.proof_at = None if window is None else 2 * window
         self.turns, self.loss, self.formatted = hashlib.sha256(), hashlib.sha256(), hashlib.sha256()
         self.n_turns = self.loss_chars = self.chars = self.rewrites = self.unlocated = 0
         self.spans: list[dict] = []
         self.parts: list[str] = []
 
+    def _is_whole(self) -> bool:
+        """Whether the spans so far are the rendering of all turns so far."""
+        whole = self.template(self.said) if self.render.n_cut else self.render.output
+        return whole == "".join(self.parts)
+
+    def _prove(self) -> None:
+        if self.render.n_cut and not self._is_whole():
+            self._begin(None)
+            for role, text in self.said:
+                self._add(role, text)
+
     def add(self, role: str, text: str) -> None:
+        self.said.append((role, text))
+        self._add(role, text)
+        if self.proof_at and len(self.said) >= self.proof_at:
+            self.proof_at *= 2
+            self._prove()
+
+    def _add(self, role: str, text: str) -> None:
         wanted = role in self.loss_roles
         span, place, rewritten = self.render.push(role, text, wanted)
         self.rewrites += rewritten
@@ -139,7 +165,8 @@ class _Digest:
         self.formatted.update(span.encode("utf-8", "surrogatepass"))
 
     def row(self) -> dict:
-        return {"conv_id": self.conv_id, "n_turns": self.n_turns, "turns_sha256": self.turns.hexdigest(), "loss_chars": self.loss_chars, "loss_sha256": self.loss.hexdigest(), "formatted_chars": self.chars, "n_rewrites": self.rewrites, "n_unlocated": self.unlocated, "loss_spans": self.spans, "formatted_sha256": self.formatted.hexdigest(), "formatted": "".join(self.parts), "n_cut": self.render.n_cut}
+        self._prove()
+        return {"conv_id": self.conv_id, "n_turns": self.n_turns, "turns_sha256": self.turns.hexdigest(), "loss_chars": self.loss_chars, "loss_sha256": self.loss.hexdigest(), "formatted_chars": self.chars, "n_rewrites": self.rewrites, "n_unlocated": self.unlocated, "loss_spans": self.spans, "formatted_sha256": self.formatted.hexdigest(), "formatted": "".join(self.parts), "n_cut": self.render.n_cut, "is_whole": self._is_whole()}
 
 
 def _formatter(template, read, undo, loss_roles: tuple[str, ...], window: int | None):
@@ -169,8 +196,8 @@ def _formatter(template, read, undo, loss_roles: tuple[str, ...], window: int |
 def format_chats(chats: DataFrame, template: Callable[[Turns], str] = marked_turns, read: Callable[[str], Turns] = read_marked, undo: Callable[[str], str] = unescape, loss_roles: tuple[str, ...] = ("assistant",), window: int = 512, append_only: bool | None = None) -> DataFrame:
     """One row for each conversation of `chats` (conv_id, turn, role, text; other columns are not read).
 
-    append_only declares that the template only adds to its output, turn by turn, whatever stands before; by default only
-    marked_turns counts as such.
+    append_only declares that the template only adds to its output, turn by turn, whatever stands before, so that the window
+    is worth trying; by default only marked_turns counts as such.
     formatted is the text that loss_spans point into: the spans of all turns one after another.
     n_rewrites counts turns whose rendering changed earlier output, n_unlocated loss turns whose text was not found in
     their span; both are 0 for a template that only appends and frames texts.
