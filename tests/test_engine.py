@@ -1,6 +1,8 @@
 """Rules, columns, models against SQL, the table store."""
 
+import bisect
 import os
+import re
 import shutil
 import subprocess
 import sys
@@ -18,10 +20,11 @@ from pyspark.sql import functions as F
 
 from quarryline import contract, fixture
 from quarryline.functions.columns import surrogate_key, uuid5
+from quarryline.operators import constraints
 from quarryline.operators.checks import side_by_side
 from quarryline.operators.enrich import latest_by_key
 from quarryline.operators.upsert import merged
-from quarryline.plans.models import Project
+from quarryline.plans.models import Project, quantile
 from quarryline.plans.oracle import ORACLES
 from quarryline.plans.queries import QUERIES
 from quarryline.rules import RuleError, annotate, load_rules, parse_rules, split
@@ -51,7 +54,7 @@ def _rows(frame):
     return sorted(tuple(plain(v) for v in r) for r in frame[columns].astype(object).itertuples(index=False))
 
 
-@pytest.mark.parametrize("name", ["stg_telemetry", "json_parse", "incident_json", "interpolated", "replay_sample", "ref_integrity", "reconciliation_balance", "fact_driver_incident", "derive_flags", "trip_metrics", "fleet_daily_summary", "route_performance", "vehicle_performance", "data_quality_summary", "dq_split_quarantine", "corruption_counts", "upsert_merge", "incremental_upsert", "row_conservation", "dim_date"])
+@pytest.mark.parametrize("name", ["stg_telemetry", "json_parse", "incident_json", "interpolated", "replay_sample", "ref_integrity", "reconciliation_balance", "fact_driver_incident", "derive_flags", "trip_metrics", "fleet_daily_summary", "route_performance", "vehicle_performance", "data_quality_summary", "dq_split_quarantine", "corruption_counts", "upsert_merge", "incremental_upsert", "row_conservation", "dim_date", "route_daily", "percentile_rank_error", "distinct_sketches", "data_tests", "data_tests_of_sources", "upsert_moved_day", "record_bytes", "injection_ledger"])
 def test_queries_equal_sql(spark, duck, name):
     assert _rows(QUERIES[name](spark, SF).toPandas()) == _rows(duck.sql(ORACLES[name]).df())
 
@@ -205,3 +208,41 @@ def test_helper_columns_clash_with_no_input_column(spark):
     df = spark.createDataFrame([(1, 5, 7), (1, 6, 8)], "k int, rank int, one int")
     assert [tuple(r) for r in latest_by_key(df, "k", "rank").collect()] == [(1, 6, 8)]
     assert [tuple(r) for r in side_by_side(df.agg(F.max("one").alias("one")), df.agg(F.count("*").alias("n"))).collect()] == [(8, 2)]
+
+
+def test_sketches_merge_to_what_one_sketch_gives_and_stay_small(spark):
+    n, k = 300_000, 4096
+    rows = spark.range(n).selectExpr("id", "id % 30 AS day", "(id * 7919) % 1000003 AS seconds")
+    days = rows.groupBy("day").agg(F.kll_sketch_agg_bigint("seconds", k).alias("s"), F.hll_sketch_agg(F.col("seconds") % 50_000, F.lit(12)).alias("d"))
+    got = days.agg(F.kll_merge_agg_bigint("s", k).alias("s"), F.hll_sketch_estimate(F.hll_union_agg("d")).alias("d"), F.max(F.length("s")).alias("bytes")).select("d", "bytes", F.length("s").alias("merged"), *[quantile("s", r).alias(f"q{i}") for i, r in enumerate((0.01, 0.5, 0.95))]).first()
+    values = sorted((i * 7919) % 1000003 for i in range(n))
+    for i, rank in enumerate((0.01, 0.5, 0.95)):
+        assert abs(bisect.bisect_right(values, got[f"q{i}"]) / n - rank) < 0.002
+    distinct = len({v % 50_000 for v in values})
+    assert abs(got["d"] - distinct) < 3 * 0.0163 * distinct and got["merged"] < 120_000
+
+
+def test_plans_of_sketches_and_data_tests(spark):
+    p = Project(spark, SF)
+    plan = p["vehicle_day_sketches"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "count(distinct" not in plan
+    assert "percentile_approx" not in p["route_performance"]._jdf.queryExecution().optimizedPlan().toString()
+    line = fixture.table(spark, SF, "lineitem")
+    told = constraints.parse_constraints({"lineitem": {"unique": [["l_orderkey"], ["l_orderkey", "l_linenumber"]], "l_quantity": {"range": [0, 5], "not_null": True}, "l_tax": {"values": [0.1]}}})
+    failed = constraints.failures(lambda _: line, told)
+    scans = re.findall("FileScan|Relation \\[", failed._jdf.queryExecution().executedPlan().toString())
+    assert len(scans) == 1 and failed.count() == 5
+
+
+@pytest.mark.parametrize("bad", [{}, {"t": {"c": {}}}, {"t": {"c": {"odd": 1}}}, {"t": {"c": {"values": []}}}, {"t": {"c": {"range": [None, None]}}}, {"t": {"c": {"range": 3}}}, {"t": {"c": {"parent": "x"}}}, {"t": {"c": {"not_null": True, "severity": "high"}}}])
+def test_constraints_that_are_refused(spark, bad):
+    with pytest.raises(constraints.ConstraintError):
+        constraints.parse_constraints(bad)
+
+
+def test_nulls_in_tests_and_tables_without_keys_or_rows(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None), (None, 5), (None, 5)], "k string, n int")
+    told = constraints.parse_constraints({"t": {"unique": [["k"]], "k": {"not_null": True, "parent": "p.k"}, "n": {"values": [1], "range": [None, 4]}}, "u": {"n": {"not_null": True}}})
+    tables = {"t": df, "p": df.where("k = 'zz'"), "u": df.where("false")}
+    got = {(r["table"], r["test"], r["column"]): r["failures"] for r in constraints.failures(tables.__getitem__, told).collect()}
+    assert got == {("t", "not_null", "k"): 2, ("t", "values", "n"): 2, ("t", "range", "n"): 2, ("t", "unique", "k"): 1, ("t", "parent", "k"): 2, ("u", "not_null", "n"): 0}
