@@ -5,8 +5,9 @@ the query: the first of a key is accepted, or late where its time lies below the
 All are passed on with their judgement, so accepted + late + repeated = input, and what to do with late ones is the caller's
 choice. State and watermark are part of the checkpoint, so a batch that runs again after a restart is judged alike.
 
-Needs the RocksDB state store. The state's time to live counts processing time, and under it Spark asks for another batch
-forever: a job that ends (availableNow) must set spark.sql.streaming.noDataMicroBatches.enabled to false.
+The timeout counts processing time: under an event-time timeout Spark would drop late rows before they are judged. With it
+Spark asks for another batch forever: a job that ends (availableNow) must set
+spark.sql.streaming.noDataMicroBatches.enabled to false.
 """
 
 from __future__ import annotations
@@ -15,40 +16,33 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 ARRIVAL = "arrival"
 ACCEPTED, LATE, REPEATED = "accepted", "late", "repeated"
 
 
-class Judge(StatefulProcessor):
-    """One flag for each key, which the state store forgets `forget_ms` after the key was last seen."""
-
-    def __init__(self, time: str, order: tuple[str, ...], forget_ms: int):
-        self.time, self.order, self.forget_ms = time, order, forget_ms
+def judged(readings: DataFrame, key: str = "event_id", time: str = "event_time", delay: str = "10 minutes", forget_ms: int = 86_400_000, order: tuple[str, ...] = ("ingestion_time", "kafka_offset")) -> DataFrame:
+    """`readings` with the column arrival: accepted, late or repeated.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "flag boolean", self.forget_ms)
+    A key's state, one flag, is kept for forget_ms of processing time after the key was last seen, and goes with the next
+    batch that lacks the key, so the state is bounded; a key that comes again after that counts as new. Of readings of one key in one batch the first by `order` comes first.
+    """
+    columns = readings.columns
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        group = pd.concat(list(rows), ignore_index=True).sort_values(list(self.order), kind="stable", na_position="last")
+    def judge(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        group = pd.concat(list(frames), ignore_index=True).sort_values(list(order), kind="stable", na_position="last")
         group[ARRIVAL] = REPEATED
-        if not self.seen.exists():
+        if not state.exists:
             # The watermark counts in milliseconds; none has passed while it is 0.
-            late = int(group[self.time].iloc[0].timestamp() * 1000) < timerValues.getCurrentWatermarkInMs()
-            group.iloc[0, group.columns.get_loc(ARRIVAL)] = LATE if late else ACCEPTED
-        self.seen.update((True,))
-        yield group
-
-    def close(self) -> None:
-        pass
+            is_late = int(group[time].iloc[0].timestamp() * 1000) < state.getCurrentWatermarkMs()
+            group.iloc[0, group.columns.get_loc(ARRIVAL)] = LATE if is_late else ACCEPTED
+        state.update((True,))
+        state.setTimeoutDuration(forget_ms)
+        yield group[[*columns, ARRIVAL]]
 
-
-def judged(readings: DataFrame, key: str = "event_id", time: str = "event_time", delay: str = "10 minutes", forget_ms: int = 86_400_000, order: tuple[str, ...] = ("ingestion_time", "kafka_offset")) -> DataFrame:
-    """`readings` with the column arrival: accepted, late or repeated.
-
-    A key's state is kept for forget_ms of processing time after the key was last seen, so the state is bounded; a key that
-    comes again after that counts as new. Of readings of one key in one batch the first by `order` comes first.
-    """
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in readings.schema) + f", {ARRIVAL} string"
-    return readings.withWatermark(time, delay).groupBy(key).transformWithStateInPandas(Judge(time, order, forget_ms), schema, "Append", "ProcessingTime")
+    return readings.withWatermark(time, delay).groupBy(key).applyInPandasWithState(judge, schema, "flag boolean", "append", GroupStateTimeout.ProcessingTimeTimeout)
