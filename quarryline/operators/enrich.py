@@ -46,6 +46,15 @@ def latest_by_key(df: DataFrame, key: str | list[str], *newest_first: str) -> Da
     return df.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
 
 
+def latest_and_copies(df: DataFrame, key: str, *newest_first: str, copies: str) -> DataFrame:
+    """latest_by_key, and in `copies` how many rows its key had. Rows are combined before the shuffle, so a key that repeats
+    without end sends one row of each task."""
+    row = unused("row", df)
+    kept = F.max_by(F.struct(*[c for c in df.columns if c != key]), F.struct(*newest_first)).alias(row)
+    counted = df.groupBy(key).agg(kept, F.count("*").alias(copies))
+    return counted.select(*[c if c == key else F.col(f"{row}.{c}") for c in df.columns], copies)
+
+
 def detect_incidents(readings: DataFrame) -> DataFrame:
     """The low-latency classification: readings that breach a limit, by priority."""
     temperature = F.col("engine_temperature")

@@ -109,8 +109,8 @@ def quarantine(p: Project) -> DataFrame:
 
 @model
 def reconciliation(p: Project) -> DataFrame:
-    """The ledger of daily batches, as the split and the stored rows have them. Every tenth is given a lost row, so that
-    there is something to find."""
+    """The ledger of daily batches, as the split and the stored rows have them. Duplicates are the good rows that are not the
+    newest of their key, whatever was stored. Every tenth batch is given a lost row, so that there is something to find."""
     day = F.dayofmonth("event_time").cast("long").alias("batch_id")
     seen = annotate(p["bronze"], as_of=p.as_of).groupBy(day).agg(
         F.count("*").alias("source_count"),
@@ -118,9 +118,12 @@ def reconciliation(p: Project) -> DataFrame:
         F.count_if(VALID).alias("good"),
         F.max("ingestion_time").alias("recorded_at"),
     )
+    good = annotate(p["bronze"], as_of=p.as_of).where(VALID)
+    newest = good.groupBy("event_id").agg(F.max_by(day, F.struct("ingestion_time", "kafka_offset")).alias("batch_id"))
+    distinct = newest.groupBy("batch_id").agg(F.count("*").alias("distinct"))
     stored = p["silver"].groupBy(day).agg(F.count("*").alias("stored"))
     out = F.coalesce("stored", F.lit(0))
-    return seen.join(stored, "batch_id", "left").select(F.lit(fixture.RUN_ID).alias("run_id"), F.lit("silver").alias("stage"), "batch_id", "source_count", (F.col("good") - out).alias("duplicate_count"), "rejected_count", (out - (F.col("batch_id") % 10 == 0).cast("long")).alias("output_count"), "recorded_at")
+    return seen.join(distinct, "batch_id", "left").join(stored, "batch_id", "left").select(F.lit(fixture.RUN_ID).alias("run_id"), F.lit("silver").alias("stage"), "batch_id", "source_count", (F.col("good") - F.coalesce("distinct", F.lit(0))).alias("duplicate_count"), "rejected_count", (out - (F.col("batch_id") % 10 == 0).cast("long")).alias("output_count"), "recorded_at")
 
 
 # staging

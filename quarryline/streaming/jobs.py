@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quarryline.contract import QUARANTINE_COLUMNS, RECONCILIATION, parse_schema, silver_ddl
-from quarryline.functions.columns import quarantine_key
-from quarryline.operators.enrich import detect_incidents, enrich, incident_messages, latest_by_key
+from quarryline.functions.columns import quarantine_key, unused
+from quarryline.operators.enrich import detect_incidents, enrich, incident_messages, latest_and_copies
 from quarryline.rules import Rules, annotate, explain_failures
 from quarryline.sources.lake import Lake, staging
 
@@ -79,7 +79,9 @@ def deduplicated(bronze: DataFrame, delay: str = WATERMARK) -> DataFrame:
 
 def write_silver_batch(batch: DataFrame, batch_id: int, lake: Lake, run_id: str, rules: Rules | None = None, as_of: datetime | None = None) -> dict[str, int]:
     """Splits, enriches, upserts and accounts for one micro-batch, which is read once: the judged rows are staged, and the
-    counters of the ledger are observed while they and the rows of silver are written.
+    counters of the ledger are observed while they and the rows of silver are written. Each is a count of its own, duplicates
+    too, so rows that are lost or multiplied on the way leave a line that doesn't balance. The last two are observed in the
+    stage that writes, where a task that runs again is counted once.
 
     Every write is by key, so a batch that comes again, under its own number or another, changes rows in place. The ledger
     has one line for each run, stage and batch."""
@@ -97,13 +99,14 @@ def write_silver_batch(batch: DataFrame, batch_id: int, lake: Lake, run_id: str,
             dated = failed.select(*QUARANTINE_COLUMNS, F.col("ingestion_time").alias("seen_at"), F.to_date("event_time").alias("event_date"))
             inner.upsert("quarantine", dated, "quarantine_id", ("seen_at",), "event_date")
         good = judged.where("dq_valid").drop("dq_failed", "dq_warnings", "dq_valid")
-        rich = enrich(latest_by_key(good, "event_id", "ingestion_time", "kafka_offset"), inner.read("dim_vehicle"), inner.read("dim_driver"))
+        copies = unused("copies", good)
+        rich = enrich(latest_and_copies(good, "event_id", "ingestion_time", "kafka_offset", copies=copies), inner.read("dim_vehicle"), inner.read("dim_driver"))
         columns = [c.split()[0] for c in silver_ddl().split(", ")]
-        ready = rich.withColumns({"processed_at": clock, "silver_run_id": F.lit(run_id)}).select(*columns, F.to_date("event_time").alias("event_date"))
+        ready = rich.withColumns({"processed_at": clock, "silver_run_id": F.lit(run_id)}).select(*columns, F.to_date("event_time").alias("event_date"), copies)
+        counted = ready.observe(kept, F.count(F.lit(1)).alias("output"), F.coalesce(F.sum(F.col(copies) - 1), F.lit(0)).alias("duplicates"))
         # A reading whose time was corrected moves to its new day: the key alone tells what it replaces.
-        inner.replace("silver", ready.observe(kept, F.count(F.lit(1)).alias("output")), "event_id", "event_date")
-        output = kept.get["output"]
-        out = {"source": counts["source"], "duplicates": counts["source"] - counts["rejected"] - output, "rejected": counts["rejected"], "output": output}
+        inner.replace("silver", counted.drop(copies), "event_id", "event_date")
+        out = {"source": counts["source"], "duplicates": kept.get["duplicates"], "rejected": counts["rejected"], "output": kept.get["output"]}
     line = spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit("silver").alias("stage"), F.lit(batch_id).cast("long").alias("batch_id"), *[F.lit(out[k]).cast("long").alias(c) for k, c in (("source", "source_count"), ("duplicates", "duplicate_count"), ("rejected", "rejected_count"), ("output", "output_count"))], clock.alias("recorded_at"))
     if not inner.exists("reconciliation") or not inner.read("reconciliation").where((F.col("run_id") == run_id) & (F.col("stage") == "silver") & (F.col("batch_id") == batch_id)).limit(1).count():
         inner.append("reconciliation", line.select([f.name for f in RECONCILIATION]), "stage")

@@ -9,6 +9,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from quarryline.operators.enrich import latest_and_copies, latest_by_key
 from quarryline.plans import runner
 from quarryline.plans.parallel import run_graph
 from quarryline.plans.runner import FACTS, build, daily_run, source_project
@@ -212,6 +213,29 @@ def test_a_batch_is_read_once_and_ledger_counts_it(spark, lake):
     assert jobs.write_silver_batch(bronze.limit(0), 6, lake, "s", as_of=AS_OF)["source"] == 0
 
 
+def test_duplicates_are_counted_by_themselves_so_a_ledger_can_fail(spark, lake):
+    _dimensions(spark, lake)
+    assert jobs.write_silver_batch(_bronze(spark, [_record(1, speed="fast"), _record(2, vehicle_id=None)], AS_OF), 0, lake, "s", as_of=AS_OF) == {"source": 2, "duplicates": 0, "rejected": 2, "output": 0}
+    records = [_record(n) for n in (1, 1, 1, 2, 3, 3)]
+    assert jobs.write_silver_batch(_bronze(spark, records, AS_OF), 1, lake, "s", as_of=AS_OF) == {"source": 6, "duplicates": 3, "rejected": 0, "output": 3}
+    assert [s.passed for s in daily_run(lake, AS_OF)][:2] == [True, True]
+    # A vehicle that stands twice in its dimension multiplies readings: the run must stop at its reconciliation.
+    lake.overwrite("dim_vehicle", lake.read("dim_vehicle").union(lake.read("dim_vehicle")))
+    got = jobs.write_silver_batch(_bronze(spark, records, AS_OF), 2, lake, "s", as_of=AS_OF)
+    assert got["output"] == 6 and got["source"] - got["duplicates"] - got["rejected"] != got["output"]
+    run = daily_run(lake, AS_OF)
+    assert (run[-1].name, run[-1].passed) == ("reconciliation", False) and run[-1].detail.startswith("1 of 3")
+
+
+@pytest.mark.parametrize("null_at", [True, False])
+def test_latest_and_copies_is_latest_by_key_with_a_count(spark, null_at):
+    rows = [(k, None if null_at and v == 9 else v, f"{k}{v}") for k in ("a", "b", None) for v in (3, 9, 5)] + [("c", None, "c")]
+    df = spark.createDataFrame(rows, "k string, v long, row string")
+    got = latest_and_copies(df, "k", "v", copies="n")
+    assert got.columns == ["k", "v", "row", "n"] and {r["n"] for r in got.where("k = 'c'").collect()} == {1}
+    assert sorted(map(str, got.drop("n").collect())) == sorted(map(str, latest_by_key(df, "k", "v").collect())) and got.agg(F.sum("n")).first()[0] == len(rows)
+
+
 def test_a_corrected_time_leaves_one_reading(spark, lake):
     _dimensions(spark, lake)
     jobs.write_silver_batch(_bronze(spark, [_record(1), _record(2)], datetime(2026, 3, 10, 12)), 0, lake, "s", as_of=AS_OF)
