@@ -34,12 +34,13 @@ FACTS = {
 #: Stored rollups and reports with the stored tables that they read.
 REPORTS = {
     "route_daily": {"fact_trip"},
+    "route_durations": {"fact_trip"},
     "vehicle_day_sketches": {"fact_telemetry"},
     "fleet_distincts": {"vehicle_day_sketches"},
     "fleet_daily_summary": {"fact_vehicle_daily"},
     "driver_performance": {"fact_trip"},
     "vehicle_performance": {"fact_vehicle_daily"},
-    "route_performance": {"fact_trip", "route_daily"},
+    "route_performance": {"fact_trip", "route_daily", "route_durations"},
     "data_quality_summary": {"fact_telemetry"},
 }
 MARK = "silver"
